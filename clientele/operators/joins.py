@@ -43,15 +43,17 @@ def suppress(df: DataFrame, listed: DataFrame, key: str, list_key: str, reason:
 
 def explode_ids(df: DataFrame, ids: str, out: str) -> DataFrame:
     """One row per different id of a comma-separated list; blank entries are skipped."""
-    parts = F.transform(F.split(F.col(ids), ","), lambda x: F.trim(x))
-    wanted = F.array_distinct(F.filter(parts, not_blank))
+    wanted = F.array_distinct(F.filter(F.split(F.col(ids), ","), not_blank))
     return df.withColumn(out, F.explode(wanted))
 
 
 def match_ids(df: DataFrame, ids: str, items: DataFrame, item_id: str) -> DataFrame:
-    """Join each row to the items its id list names; ids that are unknown drop out."""
-    listed = explode_ids(df, ids, "_id").withColumn(item_id, F.col("_id").try_cast("long"))
-    return listed.drop("_id").join(items, item_id, "inner")
+    """Join each row to the items its id list names; ids that are unknown drop out.
+
+    An id counts once per list, and only when its text is exactly the item's id.
+    """
+    named = items.withColumn("_id", F.col(item_id).cast("string"))
+    return explode_ids(df, ids, "_id").join(named, "_id", "inner").drop("_id")
 
 
 def day_window(df: DataFrame, start: str, days: int, out: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import HORIZONS
 from clientele.functions.dates import SLASH_DATE, age_week, days_between, parse_date
-from clientele.functions.text import MONEY, is_blank, money
+from clientele.functions.text import MONEY, is_blank, money, ratio
 from clientele.operators.hot import spread_join
 from clientele.operators.series import dense_grid, fill_grid, remaining_total, running_total
 
@@ -93,7 +93,12 @@ def value_by_lead_source(values: DataFrame, cutoff: date) -> DataFrame:
     """Average, number of eligible contacts and sum of every measure per lead source."""
     aggs = []
     for m in MEASURES:
-        aggs += [F.avg(m).alias(f"a_{m}"), F.count(m).alias(f"c_{m}"), F.sum(m).alias(f"s_{m}")]
+        total, eligible = F.sum(m), F.count(m)
+        aggs += [
+            ratio(total, eligible).alias(f"a_{m}"),
+            eligible.alias(f"c_{m}"),
+            total.alias(f"s_{m}"),
+        ]
     recent = values.filter(F.col("date_created") > F.lit(cutoff))
     return recent.groupBy("lead_source").agg(*aggs)
 
