@@ -47,6 +47,8 @@ LEAD_COLUMNS = (
     "opened",
     "clicked",
 )
+# Five-digit numbers start at 10000.
+SPREAD = 89999
 ROUTE_COLUMNS = (
     "contact_id",
     "name",
@@ -304,9 +306,9 @@ def mail_blast_list(
     ranked = add_lead_rank(pool, RESPONSE_RANK, by="actions")
     best = top_per_key(ranked, "contact_id", [F.desc("rank"), "segment"])
     if random:
-        number = F.floor(F.lit(10000) + F.rand(seed) * 89999)
+        number = F.floor(F.lit(10000) + F.rand(seed) * SPREAD)
     else:
-        number = F.pmod(F.xxhash64("contact_id", F.lit(seed or 0)), F.lit(89999)) + 10000
+        number = (F.pmod("contact_id", F.lit(SPREAD)) * 48271 + (seed or 0)) % SPREAD + 10000
     return best.withColumn("num", number.cast("long"))
 
 
