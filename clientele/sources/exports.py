@@ -19,7 +19,8 @@ def read_export(
     """Read comma-separated files with a header line and optional double quotes.
 
     Rows that do not fit the layout keep their text in ``_bad``.  Leave ``multi_line``
-    off unless quoted fields hold line breaks: it stops Spark from splitting files.
+    off unless quoted fields hold line breaks: it stops Spark from splitting files.  All
+    columns are parsed whatever a query selects, so that a row is bad for every query or none.
     """
     full = StructType([*schema.fields, StructField(BAD_ROW, StringType())])
     return (
@@ -30,6 +31,7 @@ def read_export(
         .option("escape", '"')
         .option("encoding", encoding)
         .option("multiLine", multi_line)
+        .option("columnPruning", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .csv(path)
@@ -42,9 +44,13 @@ def write_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def load_report(export: DataFrame) -> DataFrame:
-    """Rows read and rows that did not fit the layout."""
+    """Rows read, rows that did not fit the layout, and the range of the first column."""
+    key = export.columns[0]
     return export.agg(
-        F.count("*").alias("rows_read"), F.count(BAD_ROW).alias("bad_rows")
+        F.count("*").alias("rows_read"),
+        F.count(BAD_ROW).alias("bad_rows"),
+        F.min(key).alias("low_key"),
+        F.max(key).alias("high_key"),
     )
 
 

@@ -85,7 +85,7 @@ def week(column: str) -> str:
 def clock(seconds: str) -> str:
     s = f"CAST({seconds} AS BIGINT)"
     return (
-        f"(lpad(CAST({s} // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST({s} % 3600 // 60 AS VARCHAR), 2, '0')"
+        f"(CASE WHEN {s} < 36000 THEN '0' ELSE '' END || CAST({s} // 3600 AS VARCHAR) || ':' || lpad(CAST({s} % 3600 // 60 AS VARCHAR), 2, '0')"
         f" || ':' || lpad(CAST({s} % 60 AS VARCHAR), 2, '0'))"
     )
 
