@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 TRACKED = 10_000
 MAX_HOT = 1_000
 
+HOW = ("left", "inner", "left_semi", "left_anti")
 _ITEM = "_key_hash"
 _PIECES = "_pieces"
 _PIECE = "_piece"
@@ -57,15 +58,15 @@ def spread_join(
 ) -> DataFrame:
     """Equi-join ``facts`` to ``single`` (one row per key, or a few) without a hot partition.
 
-    ``how`` is ``left`` or ``inner``.  ``hot`` may pass a list made by ``hot_keys``, for
-    instance when several joins use the same key.
+    ``how`` is one of HOW.  ``hot`` may pass a list made by ``hot_keys``: when several joins
+    use one key, or when ``facts`` is costly to compute and its source tells as much.
     """
-    if how not in ("left", "inner"):
-        raise ValueError(f"spread_join does left and inner joins, not {how!r}")
+    if how not in HOW:
+        raise ValueError(f"spread_join does {HOW}, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
     some_null = F.greatest(*(F.col(k).isNull().cast("int") for k in keys), F.lit(0)) == 1
     # A NULL key matches nothing; it must not make all such facts one group either.
-    plain = facts.filter(~some_null) if how == "inner" else facts
+    plain = facts.filter(~some_null) if how in ("inner", "left_semi") else facts
     hot = F.broadcast(hot_keys(plain, keys) if hot is None else hot)
     row_no = F.monotonically_increasing_id()
     left = (

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.text import match_key, not_blank
+from clientele.operators.hot import spread_join
 
 # A lookup written down in a program is broadcast only up to this many rows.
 MAX_LITERAL_ROWS = 10_000
@@ -30,7 +31,10 @@ def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str =
 
 
 def exclude(df: DataFrame, listed: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key is not listed (NULL keys stay)."""
+    """Rows whose key is not listed (NULL keys stay).
+
+    For tables with a bounded number of rows per key, such as a list of contacts.
+    """
     keys = [on] if isinstance(on, str) else on
     return df.join(listed.select(*keys).distinct(), keys, "left_anti")
 
@@ -53,7 +57,7 @@ def match_ids(df: DataFrame, ids: str, items: DataFrame, item_id: str) -> DataFr
     An id counts once per list, and only when its text is exactly the item's id.
     """
     named = items.withColumn("_id", F.col(item_id).cast("string"))
-    return explode_ids(df, ids, "_id").join(named, "_id", "inner").drop("_id")
+    return spread_join(explode_ids(df, ids, "_id"), named, "_id", "inner").drop("_id")
 
 
 def day_window(df: DataFrame, start: str, days: int, out: str) -> DataFrame:
@@ -67,7 +71,7 @@ def update_from(
     """Overwrite columns of ``df`` where ``other`` (one row per key) has a match."""
     keys = [on] if isinstance(on, str) else list(on)
     values = [(F.col(v) if isinstance(v, str) else v).alias(f"_new_{c}") for c, v in assign.items()]
-    joined = df.join(other.select(*keys, *values, F.lit(True).alias("_hit")), keys, "left")
+    joined = spread_join(df, other.select(*keys, *values, F.lit(True).alias("_hit")), keys, "left")
     for c in assign:
         old = F.col(c) if c in df.columns else F.lit(None)
         joined = joined.withColumn(c, F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(old))

@@ -90,13 +90,15 @@ def campaign_responses(
     batches: DataFrame,
     contacts: DataFrame,
     relabel: dict[str, str] | None = None,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Mail results with the batch's template as segment and the contact's details.
 
     Results of unknown batches or contacts drop out.  ``relabel`` maps a clicked link to
-    a segment of its own.
+    a segment of its own.  The batch table has one row per mail shot, so that Spark
+    broadcasts it by its measured size.
     """
-    hot = hot_keys(mail_results, ["contact_id"])
+    hot = hot_keys(mail_results, ["contact_id"]) if hot is None else hot
     templated = mail_results.join(batches, "batch_id", "inner").withColumnRenamed("template", "segment")
     if relabel:
         templated = templated.withColumn("segment", F.coalesce(mapped("link", relabel), "segment"))
@@ -149,11 +151,16 @@ def segment_exclusive_contacts(responses: DataFrame, segment: str) -> DataFrame:
     )
 
 
-def call_leads(responses: DataFrame, opportunities: DataFrame, base_url: str) -> DataFrame:
-    """Responders to call (seg3 and seg5) with their opportunity and dial area."""
+def call_leads(
+    responses: DataFrame, opportunities: DataFrame, base_url: str, hot: DataFrame | None = None
+) -> DataFrame:
+    """Responders to call (seg3 and seg5) with their opportunity and dial area.
+
+    ``hot`` may name the contacts with very many responses, see ``spread_join``.
+    """
     chosen = responses.filter(F.col("actions").isin("seg3", "seg5"))
     opp = _opportunity_columns(opportunities, base_url)
-    return spread_join(chosen, opp, "contact_id", "left").withColumn(
+    return spread_join(chosen, opp, "contact_id", "left", hot=hot).withColumn(
         "time_city", dial_area("phone", "country", "city")
     )
 
@@ -283,11 +290,10 @@ def text_message_list(
     busy = (
         opportunities.groupBy("contact_id").agg(F.bool_and(later).alias("_later")).filter("_later")
     )
-    ranked = add_lead_rank(exclude(pool, busy, "contact_id"), ranks)
-    best = top_per_key(
-        ranked.filter(F.col("rank").isNotNull()), "contact_id", [F.desc("rank"), "segment", "phone"]
-    )
-    return best.join(contacts.select("contact_id", "first_name"), "contact_id", "left")
+    ranked = add_lead_rank(pool, ranks).filter(F.col("rank").isNotNull())
+    best = top_per_key(ranked, "contact_id", [F.desc("rank"), "segment", "phone"])
+    kept = exclude(best, busy, "contact_id")
+    return kept.join(contacts.select("contact_id", "first_name"), "contact_id", "left")
 
 
 def mail_blast_list(

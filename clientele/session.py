@@ -33,6 +33,9 @@ def local_session(cores: int | str = "*", app: str = "clientele") -> SparkSessio
         .config("spark.sql.shuffle.partitions", parallelism)
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Plans are built from many small column expressions; recording the Python call
+        # site of each one costs more than building it.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )

@@ -373,11 +373,15 @@ class Inputs:
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name not in INPUTS:
+            df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        elif name in INPUTS:
+            sql = INPUTS[name]
+            df = self.spark.sql(sql, **{part: getattr(self, part) for part in parts_of(sql)})
+        else:
             raise AttributeError(name)
-        sql = INPUTS[name]
-        return self.spark.sql(sql, **{part: getattr(self, part) for part in parts_of(sql)})
+        # Reading a folder's schema takes a job, so each plan is made once per run.
+        setattr(self, name, df)
+        return df
 
 
 def with_inputs(body: str) -> str:

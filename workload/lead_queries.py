@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from clientele.operators.hot import hot_keys, spread_join
 from clientele.plans import attribution, contacts, leads
 from workload.registry import (
     any_area,
@@ -172,7 +173,7 @@ def q_opt_out(i):
     # The event id keeps equal mails of one contact apart in the comparison.
     listed = i.opt_outs.select("contact_id", "type").distinct()
     mails = i.mail_activity.select("event_id", "contact_id", "batch_id", "sent", "opened", "link")
-    return contacts.spread_join(mails, listed, "contact_id", "inner")
+    return spread_join(mails, listed, "contact_id", "inner")
 
 
 @query("""
@@ -199,9 +200,13 @@ SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY contact_id ORDER BY las
   FROM {opportunities}) AS o WHERE rn = 1"""
 
 
+def _hot(i):
+    return hot_keys(i.mail_activity, ["contact_id"])
+
+
 def _responses(i):
     return leads.campaign_responses(
-        i.mail_activity, i.mail_batches, i.contacts, relabel={"/p/3": "inner"}
+        i.mail_activity, i.mail_batches, i.contacts, relabel={"/p/3": "inner"}, hot=_hot(i)
     )
 
 
@@ -248,7 +253,7 @@ WHERE r.actions IN ('seg3', 'seg5')"""
 
 
 def _call_leads(i):
-    return leads.call_leads(_responses(i), i.opportunities, BASE)
+    return leads.call_leads(_responses(i), i.opportunities, BASE, hot=_hot(i))
 
 
 @query(_CALLS)
