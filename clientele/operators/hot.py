@@ -66,7 +66,7 @@ def spread_join(
     keys = [keys] if isinstance(keys, str) else list(keys)
     some_null = F.greatest(*(F.col(k).isNull().cast("int") for k in keys), F.lit(0)) == 1
     # A NULL key matches nothing; it must not make all such facts one group either.
-    plain = facts.filter(~some_null) if how in ("inner", "left_semi") else facts
+    plain = facts.dropna(subset=keys) if how in ("inner", "left_semi") else facts
     hot = F.broadcast(hot_keys(plain, keys) if hot is None else hot)
     row_no = F.monotonically_increasing_id()
     left = (

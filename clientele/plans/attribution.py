@@ -20,7 +20,6 @@ from clientele.operators.hot import hot_keys, spread_join
 from clientele.operators.joins import day_window
 
 WINDOW_DAYS = 3
-_NO_MAIL = {"mail_id": "long", "num_sale": "long", "effect_sales": "double", "earned": "double"}
 
 
 def creative_mails(broadcasts: DataFrame, patterns: Iterable[str] = CREATIVE_PATTERNS) -> DataFrame:
@@ -36,7 +35,7 @@ def mail_window_days(broadcasts: DataFrame, days: int = WINDOW_DAYS) -> DataFram
 def contact_windows(sends: DataFrame, broadcasts: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """Each contact's mails with the last day of their window."""
     until = broadcasts.groupBy("mail_id").agg(F.date_add(F.max("date"), days).alias("last_date"))
-    received = sends.select("contact_id", "mail_id").distinct()
+    received = sends.select("contact_id", "mail_id").dropna().distinct()
     known = until.filter(F.col("last_date").isNotNull())
     return spread_join(received, known, "mail_id", "inner", hot=hot_keys(sends, ["mail_id"]))
 
@@ -47,12 +46,15 @@ def _invoice_days(invoices: DataFrame) -> DataFrame:
     )
 
 
-def _per_mail(mails: DataFrame, parts: DataFrame, day_col: str) -> DataFrame:
+def _per_mail(mails: DataFrame, parts: DataFrame, day_col: str, keep_rest: bool) -> DataFrame:
     """Bring a contact-day's part back to its mails and add up per mail.
 
-    A contact-day has at most one row per mail, so no group here is unbounded.
+    Parts without a day are invoices no mail accounts for; they come out as the row
+    without a mail id, with a number of sales and nothing else.  A contact-day has at most
+    one row per mail, so no group here is unbounded.
     """
-    met = mails.select("contact_id", "mail_id", day_col).join(parts, ["contact_id", day_col], "inner")
+    sent = mails.select("contact_id", "mail_id", day_col)
+    met = sent.join(parts, ["contact_id", day_col], "right" if keep_rest else "inner")
     return met.groupBy("mail_id").agg(
         F.sum("num_sale").alias("num_sale"),
         F.sum("effect_sales").alias("effect_sales"),
@@ -60,14 +62,6 @@ def _per_mail(mails: DataFrame, parts: DataFrame, day_col: str) -> DataFrame:
     )
 
 
-def _unattributed(unmet: DataFrame) -> DataFrame:
-    """Invoices no mail accounts for, as the row without a mail id; none, no row."""
-    row = unmet.agg(F.sum("sales").alias("num_sale")).filter("num_sale > 0")
-    return row.select(
-        *(F.col(c) if c == "num_sale" else F.lit(None).cast(t).alias(c) for c, t in _NO_MAIL.items())
-    )
-
-
 def revenue_by_sent(
     invoices: DataFrame,
     sends: DataFrame,
@@ -102,20 +96,21 @@ def revenue_by_sent(
     by_contact = Window.partitionBy("contact_id")
     onward = by_contact.orderBy("day").rowsBetween(0, Window.unboundedFollowing)
     so_far = by_contact.orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
-    open_mails = F.coalesce(F.sum("mails").over(onward), F.lit(0))
+    # An invoice without a date meets no mail.
+    still_open = F.when(F.col("day").isNotNull(), F.sum("mails").over(onward))
+    open_mails = F.coalesce(still_open, F.lit(0))
     timeline = days_of.withColumn("open_mails", open_mails)
-    met = F.col("open_mails") > 0
-    parts = (
-        timeline.withColumn("num_sale", F.sum(F.when(met, F.col("sales"))).over(so_far))
-        .withColumn("effect_sales", F.sum(ratio(F.col("sales"), F.col("open_mails"))).over(so_far))
-        .withColumn("earned", F.sum(ratio(F.col("total"), F.col("open_mails"))).over(so_far))
-        .filter(F.col("mails").isNotNull() & F.col("num_sale").isNotNull())
-        .select("contact_id", F.col("day").alias("last_date"), "num_sale", "effect_sales", "earned")
+    met, ends = F.col("open_mails") > 0, F.col("mails").isNotNull()
+    summed = timeline.select(
+        "contact_id",
+        F.when(ends, F.col("day")).alias("last_date"),
+        F.when(met, F.sum(F.when(met, F.col("sales"))).over(so_far)).otherwise(F.col("sales")).alias("num_sale"),
+        F.when(met, F.sum(ratio(F.col("sales"), F.col("open_mails"))).over(so_far)).alias("effect_sales"),
+        F.when(met, F.sum(ratio(F.col("total"), F.col("open_mails"))).over(so_far)).alias("earned"),
+        (ends | ~met).alias("_wanted"),
     )
-    out = _per_mail(mails, parts, "last_date")
-    if keep_unattributed:
-        out = out.unionByName(_unattributed(timeline.filter(~met & F.col("sales").isNotNull())))
-    return out
+    parts = summed.filter(F.col("_wanted") & F.col("num_sale").isNotNull()).drop("_wanted")
+    return _per_mail(mails, parts, "last_date", keep_unattributed)
 
 
 def first_opens(opens: DataFrame) -> DataFrame:
@@ -141,17 +136,13 @@ def revenue_by_open(
     at_day = Window.partitionBy("contact_id", "day")
     reach = reach.withColumn("open_mails", F.sum("mails").over(at_day))
     sold = _invoice_days(invoices)
-    hits = reach.join(sold, ["contact_id", "day"], "inner")
+    hits = sold.join(reach, ["contact_id", "day"], "left")
     parts = hits.groupBy("contact_id", "opened").agg(
         F.sum("sales").alias("num_sale"),
         F.sum(ratio(F.col("sales"), F.col("open_mails"))).alias("effect_sales"),
         F.sum(ratio(F.col("total"), F.col("open_mails"))).alias("earned"),
     )
-    out = _per_mail(mails, parts, "opened")
-    if keep_unattributed:
-        reached = reach.select("contact_id", "day").distinct()
-        out = out.unionByName(_unattributed(sold.join(reached, ["contact_id", "day"], "left_anti")))
-    return out
+    return _per_mail(mails, parts, "opened", keep_unattributed)
 
 
 def rows_per_mail(df: DataFrame, out: str) -> DataFrame:

@@ -24,10 +24,12 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", app: str = "clientele") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "clientele", conf: dict[str, str] | None = None
+) -> SparkSession:
     """A local session for tests and the benchmark; a cluster job brings its own."""
     parallelism = str(cores) if cores != "*" else "8"
-    spark = (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", parallelism)
@@ -37,7 +39,9 @@ def local_session(cores: int | str = "*", app: str = "clientele") -> SparkSessio
         # site of each one costs more than building it.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .getOrCreate()
     )
+    for key, value in (conf or {}).items():
+        builder = builder.config(key, value)
+    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)

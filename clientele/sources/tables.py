@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,12 @@ SNAPSHOT = "snapshot_week"
 _SHARED_CONF = "spark.checkpoint.dir"
 
 
+@lru_cache
+def _local_dir(application: str) -> str:
+    """One temporary folder per local application."""
+    return tempfile.mkdtemp(prefix="clientele-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session names it.
 
@@ -27,9 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {_SHARED_CONF} to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="clientele-")
-    spark.conf.set(_SHARED_CONF, made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
 
 
 def new_table_path(spark: SparkSession, name: str) -> str:
