@@ -23,7 +23,7 @@ def read_export(
     columns are parsed whatever a query selects, so that a row is bad for every query or none.
     """
     full = StructType([*schema.fields, StructField(BAD_ROW, StringType())])
-    return (
+    rows = (
         spark.read.schema(full)
         .option("header", True)
         .option("enforceSchema", True)
@@ -36,6 +36,10 @@ def read_export(
         .option("columnNameOfCorruptRecord", BAD_ROW)
         .csv(path)
     )
+    # Spark refuses to read the bad-row column alone, as counting rows would; this ties it
+    # to the first column without changing it.
+    first = F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit(""))
+    return rows.withColumn(BAD_ROW, F.when(first != F.lit("\0"), F.col(BAD_ROW)))
 
 
 def write_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
