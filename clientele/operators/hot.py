@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 # at most MAX_HOT of them come back, which bounds the list that is broadcast.
 TRACKED = 10_000
 MAX_HOT = 1_000
+MERGERS = 256
 
 HOW = ("left", "inner", "left_semi", "left_anti")
 _ITEM = "_key_hash"
@@ -30,14 +31,23 @@ def _partitions(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFrame:
     """Hashes of the keys larger than two average partitions, with a number of pieces.
 
-    One pass over the key columns and no shuffle of keys: the sketch merges map-side.
-    The result has at most MAX_HOT rows.
+    One pass over the key columns and no shuffle of keys: every map task sends a sketch,
+    and the sketches merge in two steps, so that no task receives one from each map task.
+    The result has at most MAX_HOT rows.  It only steers how rows are spread; an estimate
+    that is off changes no result.
     """
     parts = parts or _partitions(df)
-    present = df.select(F.xxhash64(*keys).alias(_ITEM))
-    sketch = present.agg(
-        F.expr(f"approx_top_k({_ITEM}, {MAX_HOT}, {TRACKED})").alias("top"),
-        F.count("*").alias("total"),
+    present = df.select(
+        F.xxhash64(*keys).alias(_ITEM), F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")
+    )
+    sketch = (
+        present.groupBy("_merger")
+        .agg(
+            F.expr(f"approx_top_k_accumulate({_ITEM}, {TRACKED})").alias("seen"),
+            F.count("*").alias("total"),
+        )
+        .agg(F.expr("approx_top_k_combine(seen)").alias("seen"), F.sum("total").alias("total"))
+        .select(F.expr(f"approx_top_k_estimate(seen, {MAX_HOT})").alias("top"), "total")
     )
     return (
         sketch.select(F.explode("top").alias("hit"), "total")

@@ -22,9 +22,12 @@ from clientele.operators.joins import day_window
 WINDOW_DAYS = 3
 
 
-def creative_mails(broadcasts: DataFrame, patterns: Iterable[str] = CREATIVE_PATTERNS) -> DataFrame:
-    """Broadcasts whose template is an advertising one."""
-    return broadcasts.filter(like_any("template", patterns))
+def creative_mails(
+    broadcasts: DataFrame, patterns: Iterable[str] = CREATIVE_PATTERNS, advertising: bool = True
+) -> DataFrame:
+    """Broadcasts whose template is an advertising one, or those whose template is not."""
+    is_adv = F.coalesce(like_any("template", patterns), F.lit(False))
+    return broadcasts.filter(is_adv if advertising else ~is_adv)
 
 
 def mail_window_days(broadcasts: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:

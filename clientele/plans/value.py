@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -13,9 +14,15 @@ from clientele.functions.text import MONEY, is_blank, money, ratio
 from clientele.operators.hot import spread_join
 from clientele.operators.series import dense_grid, fill_grid, remaining_total, running_total
 
-MEASURES = tuple(
-    f"{tag}_{kind}" for tag in (*(h[0] for h in HORIZONS), "cvlife") for kind in ("ts", "tp")
-)
+Horizons = Sequence[tuple[str, int, int | None]]
+
+
+def measures(horizons: Horizons = HORIZONS, whole: str = "cvlife") -> tuple[str, ...]:
+    """Names of the value columns, invoiced (``_ts``) and paid (``_tp``) for each horizon."""
+    return tuple(f"{tag}_{kind}" for tag in (*(h[0] for h in horizons), whole) for kind in ("ts", "tp"))
+
+
+MEASURES = measures()
 
 
 def clean_invoices(staged: DataFrame, date_format: str = SLASH_DATE) -> DataFrame:
@@ -48,22 +55,29 @@ def lifecycle_day(
     )
 
 
-def _horizon_sums(amount: str, kind: str) -> list[Column]:
-    """Per horizon: amounts inside it, 0 for a contact old enough, NULL for a younger one."""
+def _horizon_sum(tag: str, last_day: int, floor: int | None, amount: str, by_age: bool) -> Column:
+    """Amounts inside a horizon: 0 for a contact old enough, NULL for a younger one."""
     day, age = F.col("lifecycle_day"), F.col("life_time")
-    out = []
-    for tag, last_day, floor in HORIZONS:
-        counts = age >= 0 if floor is None else age > floor
-        eligible = age >= (0 if floor is None else floor)
-        cell = F.when(day.between(0, last_day) & counts, F.col(amount)).when(eligible, 0)
-        out.append(F.sum(cell).alias(f"{tag}_{kind}"))
-    whole = F.coalesce(F.sum(amount), F.lit(0).cast(MONEY))
-    return [*out, whole.alias(f"cvlife_{kind}")]
-
-
-def customer_value(contacts: DataFrame, invoices: DataFrame) -> DataFrame:
+    inside = day.between(0, last_day)
+    if not by_age:
+        return F.sum(F.when(inside, F.col(amount)).otherwise(0))
+    counts = age >= 0 if floor is None else age > floor
+    eligible = age >= (0 if floor is None else floor)
+    return F.sum(F.when(inside & counts, F.col(amount)).when(eligible, 0))
+
+
+def customer_value(
+    contacts: DataFrame,
+    invoices: DataFrame,
+    horizons: Horizons = HORIZONS,
+    by_age: bool = True,
+    whole: str = "cvlife",
+) -> DataFrame:
     """Value of every contact by age horizon, invoiced (``_ts``) and paid (``_tp``).
 
+    A horizon is (column tag, last day, age the contact must have passed).  With ``by_age``
+    off every contact counts in every horizon, however young it is.
+
     Orders meet their contact in a join that cuts up hot contacts; the sums per contact
     then combine before they are shuffled.  Contacts without orders are added from the
     contact table, so each contact appears exactly once.
@@ -81,18 +95,19 @@ def customer_value(contacts: DataFrame, invoices: DataFrame) -> DataFrame:
         F.lit(None).cast(MONEY).alias("inv_paid"),
         F.lit(None).cast("int").alias("lifecycle_day"),
     )
-    sums = [
-        c
-        for pair in zip(_horizon_sums("inv_total", "ts"), _horizon_sums("inv_paid", "tp"))
-        for c in pair
-    ]
+    sums = []
+    for kind, amount in (("ts", "inv_total"), ("tp", "inv_paid")):
+        sums += [_horizon_sum(*h, amount, by_age).alias(f"{h[0]}_{kind}") for h in horizons]
+        sums.append(F.coalesce(F.sum(amount), F.lit(0).cast(MONEY)).alias(f"{whole}_{kind}"))
     return met.unionByName(no_order).groupBy(*who).agg(*sums)
 
 
-def value_by_lead_source(values: DataFrame, cutoff: date) -> DataFrame:
+def value_by_lead_source(
+    values: DataFrame, cutoff: date, of: Sequence[str] = MEASURES
+) -> DataFrame:
     """Average, number of eligible contacts and sum of every measure per lead source."""
     aggs = []
-    for m in MEASURES:
+    for m in of:
         total, eligible = F.sum(m), F.count(m)
         aggs += [
             ratio(total, eligible).alias(f"a_{m}"),

@@ -124,6 +124,13 @@ def q_creative_subset(i):
     return sent.unionByName(_tidy(_creative_open(i)).withColumn("side", F.lit("open")))
 
 
+@query(f"""
+SELECT * FROM ({_per_mail(_creative(_SENT_PAIRS).replace(_CREATIVE, f"mail_id IS NOT NULL AND NOT coalesce({_CREATIVE}, FALSE)"))}) AS s""")
+def q_other_subset(i):
+    other = attribution.creative_mails(i.broadcasts, advertising=False)
+    return _tidy(attribution.revenue_by_sent(i.mail_invoices, i.sends, other, keep_unattributed=False))
+
+
 def _card(pairs: str, volumes: dict[str, str], rate_on: str, rate: str) -> str:
     joins = " ".join(
         f"LEFT JOIN (SELECT mail_id, count(*) AS {name} FROM {table} GROUP BY 1) AS {name}_t "

@@ -53,6 +53,15 @@ def q_append(i):
     return tables.save(closed, path, append=True)
 
 
+@query("""
+SELECT o_orderkey AS order_id, o_totalprice AS total FROM {orders} WHERE o_totalprice >= 100000""")
+def q_replace(i):
+    path = tables.new_table_path(i.spark, "orders-replaced")
+    orders = i.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
+    tables.save(orders, path)
+    return tables.save(orders.filter("total >= 100000"), path)
+
+
 @query("""
 SELECT opp_id, opp, stage, next_action_date, loss_reason, order_revenue FROM {opportunities_before}""")
 def q_snapshot_week(i):
