@@ -46,6 +46,8 @@ def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFr
             F.expr(f"approx_top_k_accumulate({_ITEM}, {TRACKED})").alias("seen"),
             F.count("*").alias("total"),
         )
+        # Grouped by a constant: an ungrouped merge fails on tasks that receive no sketch.
+        .groupBy(F.lit("all"))
         .agg(F.expr("approx_top_k_combine(seen)").alias("seen"), F.sum("total").alias("total"))
         .select(F.expr(f"approx_top_k_estimate(seen, {MAX_HOT})").alias("top"), "total")
     )

@@ -50,6 +50,13 @@ def test_hot_keys_finds_the_hot_key_only(spark, skewed, many_parts):
     assert found.first()._pieces > 8
 
 
+def test_hot_keys_of_nothing(spark, skewed, many_parts):
+    empty = skewed.filter("v < 0")
+    assert hot.hot_keys(empty, ["k"]).collect() == []
+    assert hot.spread_join(empty, skewed.limit(1), "k").count() == 0
+    assert hot.attach_totals(empty, "k", n=F.count("*")).count() == 0
+
+
 def test_hot_key_is_spread_over_partitions(spark, skewed, many_parts):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
