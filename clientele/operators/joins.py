@@ -10,6 +10,8 @@ from clientele.operators.hot import spread_join
 
 # A lookup written down in a program is broadcast only up to this many rows.
 MAX_LITERAL_ROWS = 10_000
+# A side table is broadcast up to this many rows, which are counted first.
+MAX_BROADCAST_ROWS = 20_000
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -19,15 +21,29 @@ def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
     return F.broadcast(spark.createDataFrame(rows, schema))
 
 
+def is_small(table: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Does the table have at most ``rows`` rows?  Reads no further than one row more."""
+    return len(table.select(F.lit(1)).take(rows + 1)) <= rows
+
+
+def join_side_table(df: DataFrame, table: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
+    """Join a table that is expected to be small and has one row per key.
+
+    Its rows are counted first: up to MAX_BROADCAST_ROWS it is broadcast and ``df`` is not
+    shuffled; a larger one is joined by shuffle, with hot keys spread.
+    """
+    if is_small(table):
+        return df.join(F.broadcast(table), keys, how)
+    return spread_join(df, table, keys, how)
+
+
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left") -> DataFrame:
     """Add a lookup table's columns by a text key that ignores case and outer spaces.
 
-    The table has one row per key.  It carries no broadcast hint of its own: Spark
-    broadcasts it when its measured size is under the session's threshold and joins by
-    shuffle otherwise.
+    The table has one row per key.
     """
     side = table.withColumn("_lookup", match_key(table_key)).drop(table_key)
-    return df.withColumn("_lookup", match_key(key)).join(side, "_lookup", how).drop("_lookup")
+    return join_side_table(df.withColumn("_lookup", match_key(key)), side, "_lookup", how).drop("_lookup")
 
 
 def exclude(df: DataFrame, listed: DataFrame, on: str | list[str]) -> DataFrame:

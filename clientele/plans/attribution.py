@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import CREATIVE_PATTERNS
 from clientele.functions.text import like_any, ratio
-from clientele.operators.hot import hot_keys, spread_join
-from clientele.operators.joins import day_window
+from clientele.operators.joins import day_window, join_side_table
 
 WINDOW_DAYS = 3
 
@@ -40,7 +39,7 @@ def contact_windows(sends: DataFrame, broadcasts: DataFrame, days: int = WINDOW_
     until = broadcasts.groupBy("mail_id").agg(F.date_add(F.max("date"), days).alias("last_date"))
     received = sends.select("contact_id", "mail_id").dropna().distinct()
     known = until.filter(F.col("last_date").isNotNull())
-    return spread_join(received, known, "mail_id", "inner", hot=hot_keys(sends, ["mail_id"]))
+    return join_side_table(received, known, "mail_id", "inner")
 
 
 def _invoice_days(invoices: DataFrame) -> DataFrame:

@@ -25,7 +25,7 @@ from clientele.functions.text import (
     same_text,
 )
 from clientele.operators.hot import hot_keys, spread_join
-from clientele.operators.joins import exclude, lookup, suppress
+from clientele.operators.joins import exclude, join_side_table, lookup, suppress
 from clientele.operators.pick import top_per_key
 from clientele.operators.reshape import union_all
 from clientele.plans.contacts import country_group, dial_area
@@ -95,11 +95,11 @@ def campaign_responses(
     """Mail results with the batch's template as segment and the contact's details.
 
     Results of unknown batches or contacts drop out.  ``relabel`` maps a clicked link to
-    a segment of its own.  The batch table has one row per mail shot, so that Spark
-    broadcasts it by its measured size.
+    a segment of its own.
     """
     hot = hot_keys(mail_results, ["contact_id"]) if hot is None else hot
-    templated = mail_results.join(batches, "batch_id", "inner").withColumnRenamed("template", "segment")
+    templated = join_side_table(mail_results, batches, "batch_id", "inner")
+    templated = templated.withColumnRenamed("template", "segment")
     if relabel:
         templated = templated.withColumn("segment", F.coalesce(mapped("link", relabel), "segment"))
     who = contacts.select("contact_id", "first_name", "last_name", "phone", "country", "city", "email")

@@ -146,6 +146,16 @@ def test_lookup_ignores_case_and_spaces(spark, rows):
     assert rows(joins.lookup(df, table, "city", "name"), "id", "zone") == [(1, "Z1"), (2, None), (3, None)]
 
 
+def test_side_table_over_the_limit_is_joined_by_shuffle(spark, skewed, rows, monkeypatch):
+    dim = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    assert joins.is_small(dim) and not joins.is_small(dim, 49)
+    broadcast = joins.join_side_table(skewed, dim, "k")
+    monkeypatch.setattr(joins, "is_small", lambda table: False)
+    shuffled = joins.join_side_table(skewed, dim, "k")
+    assert rows(broadcast) == rows(shuffled)
+    assert "ResolvedHint (strategy=broadcast)" in broadcast._jdf.queryExecution().toString()
+
+
 def test_exclude_keeps_null_keys(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (None,)], "id int")
     listed = spark.createDataFrame([(2, "r"), (1, None)], "who int, reason string")
