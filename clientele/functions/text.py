@@ -56,8 +56,8 @@ def like_any(c: Column | str, patterns: Iterable[str]) -> Column:
 
 def money(c: Column | str) -> Column:
     """``$1,234.50`` to a decimal; blank is 0, text that is no number is NULL."""
-    digits = F.regexp_replace(as_col(c), "[$,]", "")
-    return F.when(is_blank(c), F.lit(0).cast(MONEY)).otherwise(F.trim(digits).try_cast(MONEY))
+    digits = F.trim(F.translate(as_col(c), "$,", ""))
+    return F.when(is_blank(c), F.lit(0).cast(MONEY)).otherwise(digits.try_cast(MONEY))
 
 
 def whole_number(c: Column | str) -> Column:

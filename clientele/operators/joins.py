@@ -73,7 +73,7 @@ def match_ids(df: DataFrame, ids: str, items: DataFrame, item_id: str) -> DataFr
     An id counts once per list, and only when its text is exactly the item's id.
     """
     named = items.withColumn("_id", F.col(item_id).cast("string"))
-    return spread_join(explode_ids(df, ids, "_id"), named, "_id", "inner").drop("_id")
+    return join_side_table(explode_ids(df, ids, "_id"), named, "_id", "inner").drop("_id")
 
 
 def day_window(df: DataFrame, start: str, days: int, out: str) -> DataFrame:

@@ -25,8 +25,16 @@ def clean_sales(staged: DataFrame, sellers: dict[str, str]) -> DataFrame:
     )
 
 
-def _offline() -> Column:
-    return same_text("sources", "Offline")
+def _by_channel(sales: DataFrame) -> DataFrame:
+    """Flags for the two channels, worked out once per row rather than once per cell."""
+    return sales.select(
+        "week_number",
+        "referral_partner",
+        "product_name",
+        "inv_total",
+        same_text("sources", "Offline").alias("is_offline"),
+        same_text("sources", "Online").alias("is_online"),
+    )
 
 
 def _zero_filled(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -36,15 +44,15 @@ def _zero_filled(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def sales_week_pivot(sales: DataFrame, sellers: list[str], advisors: list[str]) -> DataFrame:
     """Revenue per week with a column per seller (offline), group totals and online sales."""
-    who, amount = F.col("referral_partner"), F.col("inv_total")
-    cells = {s: ((who == s) & _offline(), amount) for s in sellers}
+    who, amount, offline = F.col("referral_partner"), F.col("inv_total"), F.col("is_offline")
+    cells = {s: ((who == s) & offline, amount) for s in sellers}
     cells |= {
-        "advisors": (who.isin(advisors) & _offline(), amount),
-        "total_advised": (who.isin(sellers) & _offline(), amount),
-        "other_offline": (~who.isin(sellers) & _offline(), amount),
-        "online": (same_text("sources", "Online"), amount),
+        "advisors": (who.isin(advisors) & offline, amount),
+        "total_advised": (who.isin(sellers) & offline, amount),
+        "other_offline": (~who.isin(sellers) & offline, amount),
+        "online": (F.col("is_online"), amount),
     }
-    per_week = sales.groupBy("week_number").agg(
+    per_week = _by_channel(sales).groupBy("week_number").agg(
         *sum_columns(cells), F.sum(amount).alias("total_sales"), F.count(amount).alias("num_sales")
     )
     return _zero_filled(per_week, list(cells))
@@ -61,18 +69,17 @@ def sales_week_pivot_v2(
 ) -> DataFrame:
     """The later layout: big tickets of one product and a seller's fixed-price items apart."""
     who, amount = F.col("referral_partner"), F.col("inv_total")
-    below = F.lit(True)
     cells = {}
     for s in sellers:
         below = amount < big_ticket if s == capped_seller else F.lit(True)
-        cells[s] = ((who == s) & _offline() & below, amount)
+        cells[s] = ((who == s) & F.col("is_offline") & below, amount)
     fixed = [F.lit(a).cast(MONEY) for a in small_amounts]
     cells |= {
         "other": (who == OTHER, amount),
         "big_ticket": (same_text("product_name", big_product) & (amount >= big_ticket), amount),
         "fixed_price": ((who == small_seller) & amount.isin(*fixed), amount),
     }
-    per_week = sales.groupBy("week_number").agg(
+    per_week = _by_channel(sales).groupBy("week_number").agg(
         *sum_columns(cells), F.sum(amount).alias("total_sales"), F.count(amount).alias("num_sales")
     )
     return _zero_filled(per_week, list(cells))
@@ -81,7 +88,7 @@ def sales_week_pivot_v2(
 def sales_vs_target(sales: DataFrame, schedule: DataFrame, members: list[str]) -> DataFrame:
     """Offline revenue of the listed sellers next to their days and target."""
     sums = (
-        sales.filter(F.col("referral_partner").isin(members) & _offline())
+        sales.filter(F.col("referral_partner").isin(members) & same_text("sources", "Offline"))
         .groupBy(F.col("referral_partner").alias("member"))
         .agg(F.sum("inv_total").alias("sale"))
     )
