@@ -62,6 +62,35 @@ def test_horizon_days_and_contacts_without_orders(spark):
     assert set(got) == {0, 1}
 
 
+def test_a_contact_with_a_third_of_all_orders(spark):
+    """The same values as a plain join, with the hot contact's orders in many pieces."""
+    who = people(spark, [5 * n for n in range(80)])
+    contact = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 90)
+    bought = spark.range(0, 4000, 1, 8).select(
+        contact.cast("long").alias("contact_id"),
+        F.date_sub(F.lit(AS_OF), (F.col("id") % 400).cast("int")).alias("date"),
+        (F.col("id") % 97).cast("decimal(10,2)").alias("inv_total"),
+        (F.col("id") % 31).cast("decimal(10,2)").alias("inv_paid"),
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        got = {r.contact_id: r for r in value.customer_value(who, bought).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    plain = who.join(bought, "contact_id", "left").withColumn("d", F.datediff("date", "date_created"))
+    expected = plain.groupBy("contact_id", "life_time").agg(
+        F.sum(F.when(F.col("d").between(0, 30), F.col("inv_total")).otherwise(0)).alias("month"),
+        F.coalesce(F.sum("inv_paid"), F.lit(0)).alias("paid"),
+    )
+    rows = expected.collect()
+    assert len(got) == len(rows) == 80
+    for r in rows:
+        assert got[r.contact_id].cvlife_tp == r.paid
+        if r.life_time > 7:
+            assert got[r.contact_id].cv30d_ts == r.month
+
+
 def test_source_totals_equal_contact_totals(spark):
     who = people(spark, [0, 1, 7, 30, 182, 500])
     bought = orders(spark, [(n, n, AS_OF, 10.0 + n) for n in range(6)])

@@ -25,6 +25,19 @@ class Query:
 QUERIES: dict[str, Query] = {}
 
 
+def functions() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Every query as a plain function of session and data folder."""
+
+    def of(name: str, q: Query) -> Callable[[SparkSession, str], DataFrame]:
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            return q(spark, folder)
+
+        run.__name__ = name
+        return run
+
+    return {name: of(name, q) for name, q in QUERIES.items()}
+
+
 def query(sql: str) -> Callable:
     """Register a plan over ``Inputs`` under its function name."""
 
