@@ -9,9 +9,8 @@ from clientele.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    shared = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, "tests", {"spark.checkpoint.dir": shared})
+def spark():
+    session = local_session(8, "tests")
     yield session
     session.stop()
 

@@ -1,5 +1,8 @@
 """Exports and stored tables."""
 
+import tempfile
+
+import pytest
 from pyspark.sql import functions as F
 
 from clientele.sources import exports, schemas, tables
@@ -42,8 +45,29 @@ def test_snapshots_replace_their_own_week_only(spark):
 
 
 def test_tables_live_in_the_shared_folder(spark):
-    shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    assert tables.new_table_path(spark, "t").startswith(shared)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    folder = tables.shared_dir(spark)
+    assert folder == named.rstrip("/") if named else folder.startswith(tempfile.gettempdir())
+    assert tables.new_table_path(spark, "t").startswith(f"{folder}/t-")
+
+
+def test_no_temporary_folder_on_a_cluster():
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf = Conf()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError):
+        tables.shared_dir(Session())
 
 
 def test_save_append_and_publish(spark, tmp_path):

@@ -88,20 +88,23 @@ def _tidy(df):
 
 
 @query(f"""
-SELECT r.*, v.num_deliv FROM ({_per_mail(_SENT_PAIRS)}) AS r
+SELECT r.*, v.num_deliv, round(r.earned / v.num_deliv, 4) AS earned_over_deliv FROM ({_per_mail(_SENT_PAIRS)}) AS r
 LEFT JOIN (SELECT mail_id, count(*) AS num_deliv FROM {{sends}} GROUP BY 1) AS v ON v.mail_id = r.mail_id""")
 def q_revenue_by_sent(i):
     result = _tidy(attribution.revenue_by_sent(i.mail_invoices, i.sends, i.broadcasts))
     volume = attribution.rows_per_mail(i.sends, "num_deliv")
-    return attribution.with_rate(result, volume, "num_deliv", "rate").drop("rate")
+    rated = attribution.with_rate(result, volume, "num_deliv", "earned_over_deliv")
+    return rounded(rated, "earned_over_deliv", digits=4)
 
 
 @query(f"""
-SELECT r.*, v.num_opened FROM ({_per_mail(_OPEN_PAIRS)}) AS r
+SELECT r.*, v.num_opened, round(r.earned / v.num_opened, 4) AS earned_over_open FROM ({_per_mail(_OPEN_PAIRS)}) AS r
 LEFT JOIN (SELECT mail_id, count(*) AS num_opened FROM {{opens}} GROUP BY 1) AS v ON v.mail_id = r.mail_id""")
 def q_revenue_by_open(i):
     result = _tidy(attribution.revenue_by_open(i.mail_invoices, i.opens))
-    return result.join(attribution.rows_per_mail(i.opens, "num_opened"), "mail_id", "left")
+    volume = attribution.rows_per_mail(i.opens, "num_opened")
+    rated = attribution.with_rate(result, volume, "num_opened", "earned_over_open")
+    return rounded(rated, "earned_over_open", digits=4)
 
 
 def _creative_sent(i):
