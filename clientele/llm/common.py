@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,8 +18,22 @@ BATCH_ROWS = 256
 _BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+@lru_cache
+def _ship(application: str) -> None:
+    """Give the executors this package, as a user would with --py-files."""
+    package = Path(__file__).resolve().parents[1]
+    # The driver's Spark serves this file to the executors as long as the application runs.
+    archive = f"{tempfile.mkdtemp(prefix=package.name)}/{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
 def small_batches(spark: SparkSession) -> None:
-    """Hand whole texts to Python in batches that fit beside the executor's heap."""
+    """Make Python tasks ready: the package on the executors, and whole texts handed over in
+    batches that fit beside the executor's heap."""
+    _ship(spark.sparkContext.applicationId)
     if int(spark.conf.get(_BATCH_CONF)) != BATCH_ROWS:
         spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import packing, token_files
+from clientele.llm import language, licenses, packing, rules, token_files
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices in all documents."""
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"
+    )
+
+
+@query
+def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with their counts and the verdict against their language and source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return rules.judge(docs).select("doc_id", *rules.COUNTS, "base_failed", "kept", "distance")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents as token files, read back: where each starts, its length and checksum."""
@@ -42,3 +58,13 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     docs = table(spark, sf_dir, "documents")
     return packing.pack_documents(docs, BYTE_BPE, "spaced", size=2048, end_id=0)
+
+
+@query
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents; a fifth of the ids is kept from learning."""
+    docs = table(spark, sf_dir, "documents")
+    away = language.held_out(F.col("doc_id"))
+    model = language.fit(docs, ~away)
+    found = language.identify(docs.select("doc_id", away.alias("held_out"), "text"), model)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
