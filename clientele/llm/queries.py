@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import language, licenses, packing, rules, token_files
+from clientele.llm import language, licenses, minhash, packing, rules, token_files
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among all documents by their sets of word pairs."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in all documents."""
