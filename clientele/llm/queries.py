@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import language, licenses, minhash, packing, rules, token_files
+from clientele.llm import embeddings, language, licenses, minhash, packing, rules, token_files
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return tune(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicates among all embeddings, whatever their labels."""
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op1_embeddings"] = """
+WITH RECURSIVE valid AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS p, b.vec_id AS q FROM valid a JOIN valid b
+  ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT vec_id AS p, vec_id AS q FROM embeddings
+  UNION
+  SELECT reach.p, links.q FROM reach JOIN links ON reach.q = links.p
+), least AS (SELECT p, min(q) AS component_id FROM reach GROUP BY p),
+counted AS (SELECT p, count(*) AS n FROM links GROUP BY p)
+SELECT e.vec_id, coalesce(c.n, 0) AS n_links, l.component_id, e.vec_id = l.component_id AS kept
+FROM embeddings e JOIN least l ON l.p = e.vec_id LEFT JOIN counted c ON c.p = e.vec_id
+"""
+
+
 @query
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicates among all documents by their sets of word pairs."""
