@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import embeddings, language, licenses, minhash, packing, rules, token_files
+from clientele.llm import embeddings, language, licenses, minhash, packing, quality, rules, token_files
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +69,19 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# A document is fit for training where its label says good quality and nothing toxic.
+def fit_for_training() -> Column:
+    return (F.col("quality") == 1) & (F.col("toxic") == 0)
+
+
+@query
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of all documents, with sources as hosts and their languages as paths."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    judged = quality.judge(docs, table(spark, sf_dir, "labels"), fit_for_training())
+    return judged.select("doc_id", "evidence", "host_rate", "path_rate", "score", "kept")
+
+
 @query
 def op7_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with their counts and the verdict against their language and source."""
