@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import embeddings, language, licenses, minhash, packing, quality, rules, token_files
+from clientele.llm import bpe, embeddings, language, licenses, minhash, packing, quality, rules, token_files
+from clientele.llm.common import small_batches
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -69,6 +70,21 @@ def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents encoded, and decoded again from the ids."""
+    docs = table(spark, sf_dir, "documents")
+    small_batches(spark)
+    encoded = docs.select("doc_id", bpe.encode(F.col("text"), BYTE_BPE).alias("ids"))
+    decoded = encoded.withColumn("decoded", bpe.decode(F.col("ids"), BYTE_BPE))
+    return decoded.select(
+        "doc_id",
+        (F.length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 # A document is fit for training where its label says good quality and nothing toxic.
 def fit_for_training() -> Column:
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
