@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, embeddings, language, licenses, minhash, packing, quality, rules, token_files
+from clientele.llm import bpe, embeddings, language, licenses, minhash, packing, quality, rules, suffixes, token_files
 from clientele.llm.common import small_batches
 from clientele.session import tune
 
@@ -85,6 +85,12 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of all documents in strings of 400 bytes that occur twice or more."""
+    return suffixes.digests(table(spark, sf_dir, "documents"), length=400)
+
+
 # A document is fit for training where its label says good quality and nothing toxic.
 def fit_for_training() -> Column:
     return (F.col("quality") == 1) & (F.col("toxic") == 0)
