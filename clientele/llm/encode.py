@@ -21,18 +21,37 @@ REMEMBERED = 600_000
 
 # How chunks are cut, by the tokenizer's own pre-splitting rule.
 #   spaced: a word takes one space before it; all but the last of several blanks go together.
-#   words: blanks only separate.
+#   words: blanks only separate; capitals are lowered.
 CHUNKS = {
     "spaced": re.compile(rb" ?[^ \t-\r]+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]"),
     "words": re.compile(rb"[^ \t-\r]+"),
 }
+# The same rules' pieces within a chunk of ASCII and Latin-1 letters.
+_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_OTHER = rb"(?:[^ \t-\r0-9A-Za-z\x80-\xff]|\xc3[\x97\xb7])"
+_SHORT = rb"'(?:[stmd]|re|ve|ll)"
+PIECES = {
+    "spaced": re.compile(
+        _SHORT + rb"| ?" + _LETTER + rb"+| ?[0-9]+| ?" + _OTHER + rb"+|[ \t-\r]+(?![^ \t-\r])|[ \t-\r]"
+    ),
+    "words": re.compile(_SHORT + rb"|" + _LETTER + rb"+|[0-9]|" + _OTHER + rb"+"),
+}
+_PLAIN = re.compile(rb"(?:[\x00-\x1b\x20-\x7f]|\xc3[\x80-\xbf])*")
 _WHOLE = re.compile(r"<\||[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
+def byte_characters() -> dict[int, int]:
+    """The character that stands for each byte in byte-level vocabularies: itself where it is
+    printable, otherwise the next one from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
+
+
 class _Remembered(dict):
     """Ids of chunks, encoded when first asked for."""
 
-    def __init__(self, path: str, dtype: str):
+    def __init__(self, path: str, chunks: str, dtype: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -41,6 +60,10 @@ class _Remembered(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.model = self.tokenizer.model
+        self.lower = chunks == "words"
+        self.pieces = PIECES[chunks].findall
+        self.shown = byte_characters()
         self.dtype = dtype
 
     def whole(self, text: str) -> bytes:
@@ -49,18 +72,25 @@ class _Remembered(dict):
     def __missing__(self, chunk: bytes) -> bytes:
         if len(self) >= REMEMBERED:
             self.clear()
-        ids = self[chunk] = self.whole(chunk.decode())
+        if _PLAIN.fullmatch(chunk):
+            # The library's merges on the pieces, without the steps around them.
+            text = chunk.decode().lower().encode() if self.lower else chunk
+            tokens = [t.id for p in self.pieces(text) for t in self.model.tokenize(p.decode("latin-1").translate(self.shown))]
+            ids = np.array(tokens, self.dtype).tobytes()
+        else:
+            ids = self.whole(chunk.decode())
+        self[chunk] = ids
         return ids
 
 
 @lru_cache
-def _remembered(path: str, dtype: str) -> _Remembered:
-    return _Remembered(path, dtype)
+def _remembered(path: str, chunks: str, dtype: str) -> _Remembered:
+    return _Remembered(path, chunks, dtype)
 
 
 def encode_texts(texts: Iterable, path: str, chunks: str, dtype: str = "<u4") -> list[bytes]:
     """Little-endian ids of each text; a missing text counts as empty."""
-    known, cut = _remembered(path, dtype), CHUNKS[chunks].findall
+    known, cut = _remembered(path, chunks, dtype), CHUNKS[chunks].findall
     out = []
     for text in texts:
         if not isinstance(text, str) or not text:

@@ -18,6 +18,7 @@ beside id and text are not read.
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from clientele.llm.common import keep, small_batches
+from clientele.llm.common import keep, partitions, small_batches
 from clientele.llm.encode import token_ids
 
 NO_ID = -(2**63)
@@ -92,31 +93,39 @@ def write_tokens(
     end = np.array([end_id], dtype).tobytes()
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        part = TaskContext.get().partitionId()
-        lengths, keys = [], []
-
-        def blobs() -> Iterator[bytes]:
-            for batch in batches:
-                keys.extend(NO_ID if pd.isna(k) else int(k) for k in batch["doc_id"])
-                for ids in batch["ids"]:
-                    lengths.append(len(ids) // end_width + 1)
-                    yield bytes(ids) + end
-
-        end_width = len(end)
-        _write(folder, f"part-{part:06d}.bin", blobs())
-        if keys:
+        """Write the parts of a task one after the other; rows come sorted by part."""
+        runs = (run for batch in batches for run in batch.groupby("part", sort=False))
+        for part, group in itertools.groupby(runs, key=lambda run: run[0]):
+            lengths: list[int] = []
+            keys: list[int] = []
+
+            def blobs(group=group, lengths=lengths, keys=keys) -> Iterator[bytes]:
+                for _, rows in group:
+                    keys.extend(NO_ID if pd.isna(k) else int(k) for k in rows["doc_id"])
+                    for ids in rows["ids"]:
+                        lengths.append(len(ids) // len(end) + 1)
+                        yield ids + end
+
+            _write(folder, f"part-{part:06d}.bin", blobs())
             _write(folder, f"part-{part:06d}.doc", iter([np.array(keys, "<i8").tobytes()]))
             _write(folder, f"part-{part:06d}.len", iter([np.array(lengths, "<u8").tobytes()]))
             yield pd.DataFrame({"part": [part], "docs": [len(keys)], "ids": [int(np.sum(lengths))]})
 
+    key = F.col(doc_id).cast("long")
+    n = partitions(spark)
+    # Where parts begin: quantiles of the ids alone, so that texts are read and encoded once.
+    shares = [i / n for i in range(1, n)]
+    quantiles = F.percentile_approx(key, F.array(*map(F.lit, [0.5, *shares])), 100 * n)
+    cuts = sorted(set(docs.select(quantiles).first()[0] or []))
     encoded = docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), token_ids(F.col(text), tokenizer, chunks, dtype).alias("ids")
+        # A NULL id is in the first part.
+        F.size(F.filter(F.lit(cuts).cast("array<bigint>"), lambda cut: key >= cut)).cast("long").alias("part"),
+        key.alias("doc_id"),
+        token_ids(F.col(text), tokenizer, chunks, dtype).alias("ids"),
     )
     sizes = keep(
-        encoded.repartitionByRange("doc_id")
-        .sortWithinPartitions("doc_id", F.length("ids"), "ids")
+        encoded.repartition("part")
+        .sortWithinPartitions("part", "doc_id", F.length("ids"), "ids")
         .mapInPandas(parts, "part long, docs long, ids long"),
         "parts",
     )
