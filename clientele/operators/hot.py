@@ -12,10 +12,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A frequent-items sketch of this size reports every key above one part in TRACKED;
-# at most MAX_HOT of them come back, which bounds the list that is broadcast.
-TRACKED = 10_000
-MAX_HOT = 1_000
+# A key larger than two average partitions has more than 2 / partitions of the rows, so there
+# are fewer such keys than half the partitions.  A frequent-items sketch of SLOTS counters per
+# partition sees them all; the function's own limit is MOST_SLOTS.
+SLOTS = 10
+LEAST_SLOTS = 10_000
+MOST_SLOTS = 1_000_000
 MERGERS = 256
 
 HOW = ("left", "inner", "left_semi", "left_anti")
@@ -33,23 +35,24 @@ def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFr
 
     One pass over the key columns and no shuffle of keys: every map task sends a sketch,
     and the sketches merge in two steps, so that no task receives one from each map task.
-    The result has at most MAX_HOT rows.  It only steers how rows are spread; an estimate
-    that is off changes no result.
+    The result has fewer rows than there are partitions.  It only steers how rows are spread;
+    an estimate that is off changes no result.
     """
     parts = parts or _partitions(df)
+    slots = min(MOST_SLOTS, max(LEAST_SLOTS, SLOTS * parts))
     present = df.select(
         F.xxhash64(*keys).alias(_ITEM), F.pmod(F.spark_partition_id(), F.lit(MERGERS)).alias("_merger")
     )
     sketch = (
         present.groupBy("_merger")
         .agg(
-            F.expr(f"approx_top_k_accumulate({_ITEM}, {TRACKED})").alias("seen"),
+            F.expr(f"approx_top_k_accumulate({_ITEM}, {slots})").alias("seen"),
             F.count("*").alias("total"),
         )
         # Grouped by a constant: an ungrouped merge fails on tasks that receive no sketch.
         .groupBy(F.lit("all"))
         .agg(F.expr("approx_top_k_combine(seen)").alias("seen"), F.sum("total").alias("total"))
-        .select(F.expr(f"approx_top_k_estimate(seen, {MAX_HOT})").alias("top"), "total")
+        .select(F.expr(f"approx_top_k_estimate(seen, {min(parts, slots)})").alias("top"), "total")
     )
     return (
         sketch.select(F.explode("top").alias("hit"), "total")
@@ -61,6 +64,17 @@ def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFr
     )
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's content.
+
+    Pieces come from it and not from a row's place: a task that runs again behind a shuffle
+    reads its rows in another order, and must still deal each of them to the same piece.
+    Equal rows share a piece.
+    """
+    plain = [f.name for f in df.schema if not f.dataType.simpleString().count("map<")]
+    return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
+
+
 def spread_join(
     facts: DataFrame,
     single: DataFrame,
@@ -80,7 +94,7 @@ def spread_join(
     # A NULL key matches nothing; it must not make all such facts one group either.
     plain = facts.dropna(subset=keys) if how in ("inner", "left_semi") else facts
     hot = F.broadcast(hot_keys(plain, keys) if hot is None else hot)
-    row_no = F.monotonically_increasing_id()
+    row_no = row_hash(plain)
     left = (
         plain.withColumn(_ITEM, F.xxhash64(*keys))
         .join(hot, _ITEM, "left")

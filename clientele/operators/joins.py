@@ -8,33 +8,26 @@ from pyspark.sql import functions as F
 from clientele.functions.text import match_key, not_blank
 from clientele.operators.hot import spread_join
 
-# A lookup written down in a program is broadcast only up to this many rows.
+# A lookup written down in a program carries the broadcast hint up to this many rows.
 MAX_LITERAL_ROWS = 10_000
-# A side table is broadcast up to this many rows, which are counted first.
-MAX_BROADCAST_ROWS = 20_000
 
 
 def literal_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """A lookup table given as Python rows, marked for broadcast."""
-    if len(rows) > MAX_LITERAL_ROWS:
-        raise ValueError(f"{len(rows)} literal rows; read a lookup of this size from a table")
-    return F.broadcast(spark.createDataFrame(rows, schema))
+    """A lookup table given as Python rows, marked for broadcast while it is short."""
+    table = spark.createDataFrame(rows, schema)
+    return F.broadcast(table) if len(rows) <= MAX_LITERAL_ROWS else table
 
 
-def is_small(table: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Does the table have at most ``rows`` rows?  Reads no further than one row more."""
-    return len(table.select(F.lit(1)).take(rows + 1)) <= rows
-
-
-def join_side_table(df: DataFrame, table: DataFrame, keys: str | list[str], how: str = "left") -> DataFrame:
+def join_side_table(
+    df: DataFrame, table: DataFrame, keys: str | list[str], how: str = "left", spread: bool = False
+) -> DataFrame:
     """Join a table that is expected to be small and has one row per key.
 
-    Its rows are counted first: up to MAX_BROADCAST_ROWS it is broadcast and ``df`` is not
-    shuffled; a larger one is joined by shuffle, with hot keys spread.
+    The planner knows its size, or the adaptive plan measures it in bytes while it runs, and
+    broadcasts it where it is small.  With ``spread``, for keys with few values, hot keys
+    are cut up in case it is shuffled.
     """
-    if is_small(table):
-        return df.join(F.broadcast(table), keys, how)
-    return spread_join(df, table, keys, how)
+    return spread_join(df, table, keys, how) if spread else df.join(table, keys, how)
 
 
 def lookup(df: DataFrame, table: DataFrame, key: str, table_key: str, how: str = "left") -> DataFrame:
@@ -73,7 +66,7 @@ def match_ids(df: DataFrame, ids: str, items: DataFrame, item_id: str) -> DataFr
     An id counts once per list, and only when its text is exactly the item's id.
     """
     named = items.withColumn("_id", F.col(item_id).cast("string"))
-    return join_side_table(explode_ids(df, ids, "_id"), named, "_id", "inner").drop("_id")
+    return join_side_table(explode_ids(df, ids, "_id"), named, "_id", "inner", spread=True).drop("_id")
 
 
 def day_window(df: DataFrame, start: str, days: int, out: str) -> DataFrame:

@@ -146,14 +146,25 @@ def test_lookup_ignores_case_and_spaces(spark, rows):
     assert rows(joins.lookup(df, table, "city", "name"), "id", "zone") == [(1, "Z1"), (2, None), (3, None)]
 
 
-def test_side_table_over_the_limit_is_joined_by_shuffle(spark, skewed, rows, monkeypatch):
+def test_side_table_joins_alike_with_and_without_spreading(spark, skewed, rows):
     dim = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert joins.is_small(dim) and not joins.is_small(dim, 49)
-    broadcast = joins.join_side_table(skewed, dim, "k")
-    monkeypatch.setattr(joins, "is_small", lambda table: False)
-    shuffled = joins.join_side_table(skewed, dim, "k")
-    assert rows(broadcast) == rows(shuffled)
-    assert "ResolvedHint (strategy=broadcast)" in broadcast._jdf.queryExecution().toString()
+    assert rows(joins.join_side_table(skewed, dim, "k")) == rows(joins.join_side_table(skewed, dim, "k", spread=True))
+
+
+def test_pieces_follow_from_content(spark):
+    df = spark.range(1_000).selectExpr("id % 3 AS k", "id AS v", "cast(null as string) AS n", "map(1, 2) AS m")
+    piece = lambda d: {r.v: r.p for r in d.withColumn("p", hot.row_hash(d)).select("v", "p").collect()}
+    assert piece(df) == piece(df.orderBy(F.desc("v")).repartition(7))
+
+
+def test_more_hot_keys_than_a_thousand(spark, rows):
+    keys = spark.range(1_200).withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(30))))
+    df = keys.select(F.col("id").alias("k"), (F.col("id") * 100 + F.col("copy")).alias("v"))
+    found = hot.hot_keys(df, ["k"], parts=4_000)
+    assert found.count() == 1_200
+    single = spark.range(1_200).select(F.col("id").alias("k"), (F.col("id") + 1).alias("w"))
+    joined = hot.spread_join(df, single, "k", hot=found)
+    assert joined.count() == 36_000 and joined.filter("w <> k + 1 OR w IS NULL").isEmpty()
 
 
 def test_exclude_keeps_null_keys(spark, rows):
@@ -177,9 +188,11 @@ def test_day_window_includes_both_ends(spark):
     assert days == [dt.date(2020, 2, 27), dt.date(2020, 2, 28), dt.date(2020, 2, 29), dt.date(2020, 3, 1)]
 
 
-def test_literal_rows_are_bounded(spark):
-    with pytest.raises(ValueError):
-        joins.literal_rows(spark, [(1,)] * (joins.MAX_LITERAL_ROWS + 1), "a int")
+def test_long_literal_tables_lose_the_hint_only(spark):
+    hint = lambda df: "ResolvedHint" in df._jdf.queryExecution().toString()
+    many = joins.literal_rows(spark, [(1,)] * (joins.MAX_LITERAL_ROWS + 1), "a int")
+    assert many.count() == joins.MAX_LITERAL_ROWS + 1 and not hint(many)
+    assert hint(joins.literal_rows(spark, [(1,)], "a int"))
 
 
 def test_delete_keeps_unknown(spark, rows):
@@ -220,9 +233,11 @@ def test_joined_text_splits_long_keys(spark):
 
     random.seed(3)
     texts = [random.choice("abcdef") for _ in range(95)]
-    df = spark.createDataFrame([(1, t) for t in texts] + [(2, " z"), (2, "y")], "k int, t string")
+    data = [(k, t) for k in (1, None) for t in texts] + [(2, " z"), (2, "y"), (2, None)]
+    df = spark.createDataFrame(data, "k int, t string").repartition(5)
     out = joined_text_per_key(df, "k", "t", "all", part_rows=10).collect()
-    hot_parts = [r for r in out if r.k == 1]
-    assert len({r.part for r in hot_parts}) > 1
-    assert sorted(",".join(r["all"] for r in hot_parts).split(",")) == sorted(texts)
-    assert [r["all"] for r in out if r.k == 2] == ["y,z"]
+    for key in (1, None):
+        pages = sorted((r.part, r["all"]) for r in out if r.k == key)
+        assert [p for p, _ in pages] == list(range(10))
+        assert ",".join(text for _, text in pages) == ",".join(sorted(texts))
+    assert [(r.part, r["all"]) for r in out if r.k == 2] == [(0, "y,z")]
