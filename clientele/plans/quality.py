@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clientele.functions.text import is_blank, not_blank
-from clientele.operators.hot import attach_totals
+from clientele.sources.tables import new_table_path, save
 
 
 def contact_quality(contacts: DataFrame) -> DataFrame:
@@ -41,15 +41,36 @@ def values_of(df: DataFrame, column: str) -> DataFrame:
 
 
 def joined_text_per_key(
-    df: DataFrame, key: str, text: str, out: str, sep: str = ",", part_rows: int = 10_000
+    df: DataFrame, key: str, text: str, out: str, sep: str = ",", part_rows: int = 10_000, folder: str | None = None
 ) -> DataFrame:
-    """All texts of a key as one separated, sorted text.
+    """All texts of a key as one separated, sorted text, in pages of ``part_rows`` texts.
 
-    A key with more than ``part_rows`` texts gives several rows, numbered in ``part``:
-    each holds some of its texts, together they hold all, and no list outgrows a task.
+    ``part`` numbers a key's pages from 0: its pages in order, with the separator between them,
+    are the whole text.  NULL is a key like any other.
+
+    Rows are sorted once by key and text over all machines and written to ``folder``, so that
+    every later step sees the same slices.  A text's place in its key is its place in the slice
+    plus the sizes of the key's slices before; no task holds a key.
     """
-    sized = attach_totals(df.filter(F.col(text).isNotNull()).select(key, text), key, _n=F.count("*"))
-    parts = F.ceil(F.col("_n") / F.lit(part_rows)).cast("long")
-    part = F.pmod(F.monotonically_increasing_id(), parts).alias("part")
-    listed = F.array_join(F.sort_array(F.collect_list(F.ltrim(text))), sep)
-    return sized.groupBy(key, part).agg(listed.alias(out))
+    spark = df.sparkSession
+    rows = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("_k"), F.ltrim(text).alias("_t"))
+    sliced = rows.repartitionByRange("_k", "_t").withColumn("_slice", F.spark_partition_id())
+    kept = save(sliced, folder or new_table_path(spark, "sorted-texts"))
+    earlier = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    bases = (
+        kept.groupBy("_k", "_slice")
+        .agg(F.count("*").alias("_n"))
+        .select(F.col("_k").alias("_bk"), F.col("_slice").alias("_bs"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+    )
+    in_slice = Window.partitionBy("_k", "_slice").orderBy("_t")
+    placed = kept.withColumn("_row", F.row_number().over(in_slice)).join(
+        bases, F.col("_k").eqNullSafe(F.col("_bk")) & (F.col("_slice") == F.col("_bs"))
+    )
+    at = F.col("_base") + F.col("_row") - 1
+    page = F.floor(at / part_rows).cast("long")
+    texts = F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), "_t"))), lambda x: x["_t"])
+    return (
+        placed.groupBy("_k", page.alias("part"))
+        .agg(F.array_join(texts, sep).alias(out))
+        .select(F.col("_k").alias(key), "part", out)
+    )

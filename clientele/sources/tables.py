@@ -48,6 +48,18 @@ def save(df: DataFrame, path: str, append: bool = False) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def empty(spark: SparkSession, path: str) -> DataFrame:
+    """Delete a table's rows and keep its columns."""
+    schema = spark.read.parquet(path).schema
+    return save(spark.createDataFrame([], schema), path)
+
+
+def drop(spark: SparkSession, path: str) -> bool:
+    """Delete a table with its files; False when there was none."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def save_snapshot(df: DataFrame, path: str, week: str) -> None:
     """Write one week's snapshot of a source; other weeks are left alone."""
     (

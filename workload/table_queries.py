@@ -62,6 +62,26 @@ def q_replace(i):
     return tables.save(orders.filter("total >= 100000"), path)
 
 
+@query("""
+SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_left, TRUE AS dropped FROM {orders}""")
+def q_empty(i):
+    path = tables.new_table_path(i.spark, "orders-emptied")
+    orders = i.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
+    before = tables.save(orders, path).agg(F.count("*").alias("rows_before"))
+    rows_before = before.first()["rows_before"]
+    rows_left = tables.empty(i.spark, path).count()
+    dropped = tables.drop(i.spark, path)
+    figures = (F.lit(rows_before).alias("rows_before"), F.lit(rows_left).cast("long").alias("rows_left"))
+    return i.orders.limit(1).select(*figures, F.lit(dropped).alias("dropped"))
+
+
+@query("""
+SELECT column_name AS name FROM (DESCRIBE SELECT * FROM {orders})""")
+def q_show_schema(i):
+    names = F.array(*(F.lit(c) for c in i.orders.columns))
+    return i.orders.limit(1).select(F.explode(names).alias("name"))
+
+
 @query("""
 SELECT opp_id, opp, stage, next_action_date, loss_reason, order_revenue FROM {opportunities_before}""")
 def q_snapshot_week(i):
@@ -108,14 +128,16 @@ def q_not_listed(i):
 
 
 @query("""
-SELECT user_id, 0 AS part, string_agg(link, ',' ORDER BY link) AS links FROM (
-  SELECT user_id, '/p/' || CAST(event_id % 7 AS VARCHAR) AS link FROM {events}) AS e GROUP BY user_id
-""".replace("0 AS part", "CAST(0 AS BIGINT) AS part"))
+SELECT user_id, part, string_agg(link, ',' ORDER BY link) AS links FROM (
+  SELECT user_id, link, (row_number() OVER (PARTITION BY user_id ORDER BY link) - 1) // 25 AS part FROM (
+    SELECT CASE WHEN user_id % 50 = 0 THEN NULL ELSE user_id END AS user_id,
+      '/p/' || CAST(event_id % 7 AS VARCHAR) AS link FROM {events}) AS e) AS p
+GROUP BY user_id, part""")
 def q_string_agg(i):
     links = i.events.select(
-        "user_id", F.concat(F.lit(" /p/"), (F.col("event_id") % 7).cast("string")).alias("link")
+        F.when(F.col("user_id") % 50 != 0, F.col("user_id")).alias("user_id"), F.concat(F.lit(" /p/"), (F.col("event_id") % 7).cast("string")).alias("link")
     )
-    return quality.joined_text_per_key(links, "user_id", "link", "links")
+    return quality.joined_text_per_key(links, "user_id", "link", "links", part_rows=25)
 
 
 @query("""
