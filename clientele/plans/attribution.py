@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clientele.config import CREATIVE_PATTERNS
 from clientele.functions.text import like_any, ratio
+from clientele.operators.hot import spread_join
 from clientele.operators.joins import day_window, join_side_table
 
 WINDOW_DAYS = 3
@@ -29,6 +30,17 @@ def creative_mails(
     return broadcasts.filter(is_adv if advertising else ~is_adv)
 
 
+def creative_opens(
+    opens: DataFrame, broadcasts: DataFrame, patterns: Iterable[str] = CREATIVE_PATTERNS, advertising: bool = True
+) -> DataFrame:
+    """Opens of advertising mails, or of mails with a template that is not one.
+
+    One mail may have a large part of all opens; its rows are spread.
+    """
+    wanted = creative_mails(broadcasts, patterns, advertising).select("mail_id").distinct()
+    return spread_join(opens, wanted, "mail_id", "left_semi")
+
+
 def mail_window_days(broadcasts: DataFrame, days: int = WINDOW_DAYS) -> DataFrame:
     """The days on which a mail can still cause an invoice: its date and ``days`` more."""
     return day_window(broadcasts, "date", days, "datecol").select("mail_id", "datecol")
@@ -39,7 +51,7 @@ def contact_windows(sends: DataFrame, broadcasts: DataFrame, days: int = WINDOW_
     until = broadcasts.groupBy("mail_id").agg(F.date_add(F.max("date"), days).alias("last_date"))
     received = sends.select("contact_id", "mail_id").dropna().distinct()
     known = until.filter(F.col("last_date").isNotNull())
-    return join_side_table(received, known, "mail_id", "inner")
+    return join_side_table(received, known, "mail_id", "inner", spread=True)
 
 
 def _invoice_days(invoices: DataFrame) -> DataFrame:

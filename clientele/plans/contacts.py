@@ -177,10 +177,10 @@ def identity_match(left: DataFrame, right: DataFrame) -> DataFrame:
     return spread_join(mine, known, "_email", "inner").drop("_email")
 
 
-def opt_out_mails(opt_outs: DataFrame, mails: DataFrame) -> DataFrame:
-    """The mails that contacts on the opt-out list had received."""
+def opt_out_mails(opt_outs: DataFrame, mails: DataFrame, *also: str) -> DataFrame:
+    """The mails that contacts on the opt-out list had received, with further columns asked for."""
     listed = opt_outs.select("contact_id", "type").distinct()
-    sent = mails.select("contact_id", "batch_id", "sent", "opened", "link")
+    sent = mails.select(*also, "contact_id", "batch_id", "sent", "opened", "link")
     return spread_join(sent, listed, "contact_id", "inner")
 
 

@@ -98,7 +98,7 @@ def campaign_responses(
     a segment of its own.
     """
     hot = hot_keys(mail_results, ["contact_id"]) if hot is None else hot
-    templated = join_side_table(mail_results, batches, "batch_id", "inner")
+    templated = join_side_table(mail_results, batches, "batch_id", "inner", spread=True)
     templated = templated.withColumnRenamed("template", "segment")
     if relabel:
         templated = templated.withColumn("segment", F.coalesce(mapped("link", relabel), "segment"))

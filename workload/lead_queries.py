@@ -114,8 +114,7 @@ def _creative_sent(i):
 
 
 def _creative_open(i):
-    wanted = attribution.creative_mails(i.broadcasts).select("mail_id")
-    opens = i.opens.join(wanted, "mail_id", "left_semi")
+    opens = attribution.creative_opens(i.opens, i.broadcasts)
     return attribution.revenue_by_open(i.mail_invoices, opens, keep_unattributed=False)
 
 
@@ -181,9 +180,7 @@ SELECT DISTINCT m.event_id, m.contact_id, m.batch_id, m.sent, m.opened, m.link,
 FROM {mail_activity} AS m JOIN {opt_outs} AS o ON o.contact_id = m.contact_id""")
 def q_opt_out(i):
     # The event id keeps equal mails of one contact apart in the comparison.
-    listed = i.opt_outs.select("contact_id", "type").distinct()
-    mails = i.mail_activity.select("event_id", "contact_id", "batch_id", "sent", "opened", "link")
-    return spread_join(mails, listed, "contact_id", "inner")
+    return contacts.opt_out_mails(i.opt_outs, i.mail_activity, "event_id")
 
 
 @query("""
@@ -458,6 +455,15 @@ def q_blast_list(i):
     return leads.mail_blast_list(_responses(i), _callable(i), seed=0)
 
 
-@query("")
+@query(f"""
+WITH pool AS (
+  SELECT contact_id, segment, actions FROM ({_CALLABLE}) AS c WHERE actions IN ('seg3', 'seg5')
+  UNION ALL SELECT contact_id, segment, actions FROM ({_RESPONSES}) AS r WHERE actions IN ('seg1', 'seg2', 'seg4'))
+SELECT contact_id, segment, actions, rank, TRUE AS in_range FROM (
+  SELECT *, CAST(right(actions, 1) AS BIGINT) AS rank,
+    row_number() OVER (PARTITION BY contact_id ORDER BY right(actions, 1) DESC, segment) AS rn FROM pool) AS x
+WHERE rn = 1""")
 def q_blast_list_random(i):
-    return leads.mail_blast_list(_responses(i), _callable(i), seed=7, random=True)
+    # The number differs from run to run; its range does not.
+    drawn = leads.mail_blast_list(_responses(i), _callable(i), seed=7, random=True)
+    return drawn.withColumn("in_range", F.col("num").between(10_000, 99_998)).drop("num")
