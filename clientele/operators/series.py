@@ -19,8 +19,15 @@ def dense_grid(df: DataFrame, keys: list[str], index: str, last: Column | None =
 
 
 def fill_grid(grid: DataFrame, values: DataFrame, on: list[str], **defaults: object) -> DataFrame:
-    """Left-join values to a grid and put the default where a cell has no value."""
-    return grid.join(values, on, "left").fillna(defaults)
+    """Left-join values to a grid and put the default where a cell has no value.
+
+    NULL is a key like any other.
+    """
+    mine = values.withColumnsRenamed({c: f"_{c}" for c in on})
+    same = F.lit(True)
+    for c in on:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    return grid.join(mine, same, "left").drop(*(f"_{c}" for c in on)).fillna(defaults)
 
 
 def running_total(df: DataFrame, keys: list[str], index: str, value: str, out: str) -> DataFrame:

@@ -8,9 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.config import (
-    CALL_SHIFT,
-    CALL_TARGET,
-    DIAL_SCHEDULE,
     FINAL_DISPOSITIONS,
     INTERESTED,
 )
@@ -41,8 +38,8 @@ NO_COUNT = "no_count"
 
 def call_attempts_long(
     attempts: DataFrame,
-    targets: dict[str, int] = CALL_TARGET,
-    shifts: dict[str, tuple[str, ...]] = CALL_SHIFT,
+    targets: dict[str, int],
+    shifts: dict[str, tuple[str, ...]],
 ) -> DataFrame:
     """One row per attempt with weekday, the caller's target and whether it was a shift day."""
     groups = [
@@ -68,9 +65,13 @@ def calls_per_day(attempts: DataFrame) -> DataFrame:
 
 
 def call_day_pivot(attempts: DataFrame, days: list[date]) -> DataFrame:
-    """One column per day with ``calls/target --- percent%``; no percent without a target."""
+    """One column per day with ``calls/target --- percent%``; no percent without a target.
+
+    ``other_days`` counts the attempts on days not asked for, or without a date.
+    """
     per_day = attempts.groupBy("caller", "target").agg(
-        *(F.count_if(F.coalesce(F.col("date") == F.lit(d), F.lit(False))).alias(f"_{d:%Y%m%d}") for d in days)
+        *(F.count_if(F.coalesce(F.col("date") == F.lit(d), F.lit(False))).alias(f"_{d:%Y%m%d}") for d in days),
+        F.count_if(~F.coalesce(F.col("date").isin(*days), F.lit(False))).alias("other_days"),
     )
 
     def cell(d: date) -> Column:
@@ -79,7 +80,7 @@ def call_day_pivot(attempts: DataFrame, days: list[date]) -> DataFrame:
         shown = F.concat(n.cast("string"), F.lit("/"), F.col("target").cast("string"), F.lit(" --- "), share)
         return shown.alias(f"day_{d:%Y_%m_%d}")
 
-    return per_day.select("caller", *(cell(d) for d in days))
+    return per_day.select("caller", *(cell(d) for d in days), "other_days")
 
 
 def follow_up_coverage(follow_ups: DataFrame) -> DataFrame:
@@ -134,23 +135,28 @@ def rounds_long(rounds: dict[int, DataFrame]) -> DataFrame:
 
 def dial_rounds_wide(
     results: DataFrame,
-    schedule: dict[str, tuple[tuple[int, ...], int]] = DIAL_SCHEDULE,
+    schedule: dict[str, tuple[tuple[int, ...], int]],
     final: tuple[str, ...] = FINAL_DISPOSITIONS,
 ) -> DataFrame:
     """A contact's results over the rounds its caller dials, blank where nothing happened.
 
+    ``schedule`` has each caller's rounds and how many touched ones make a contact complete.
+
     A contact belongs to the caller who had it in the first round of that caller's
     schedule.  Results that end the rounds are shown as ``no_count``.
     """
     width = max(len(rounds) for rounds, _ in schedule.values())
     numbers = sorted({n for rounds, _ in schedule.values() for n in rounds})
 
-    def at_round(n: int, value: str) -> Column:
-        return F.max(F.when(F.col("round") == n, F.col(value)))
+    def at_round(n: int) -> Column:
+        return F.max(F.when(F.col("round") == n, F.struct("result", "caller")))
 
-    wide = results.groupBy("id").agg(
-        *(at_round(n, "result").alias(f"r{n}") for n in numbers),
-        *(at_round(n, "caller").alias(f"c{n}") for n in numbers),
+    # Of several rows for one round the last by result, then caller, counts as a whole.
+    rounds_of = results.groupBy("id").agg(*(at_round(n).alias(f"_{n}") for n in numbers))
+    wide = rounds_of.select(
+        "id",
+        *(F.col(f"_{n}.result").alias(f"r{n}") for n in numbers),
+        *(F.col(f"_{n}.caller").alias(f"c{n}") for n in numbers),
     )
 
     def shown(rounds: tuple[int, ...], place: int) -> Column:
@@ -187,7 +193,7 @@ def _ended(width: int) -> Column:
 
 
 def dial_coverage(
-    wide: DataFrame, schedule: dict[str, tuple[tuple[int, ...], int]] = DIAL_SCHEDULE
+    wide: DataFrame, schedule: dict[str, tuple[tuple[int, ...], int]]
 ) -> DataFrame:
     """Contacts per caller that were dialled fully, partly or not at all.
 
@@ -213,9 +219,9 @@ def never_reached_list(wide: DataFrame) -> DataFrame:
 
 
 def clean_auto_list(staged: DataFrame) -> DataFrame:
-    """Date out of the note, minutes out of the duration's first character."""
+    """Date out of the note, minutes out of the number the duration starts with."""
     return staged.withColumn("note", parse_date("note")).withColumn(
-        "duration", F.left("duration", F.lit(1)).try_cast("int")
+        "duration", F.regexp_extract("duration", r"^\s*([0-9]+)", 1).try_cast("int")
     )
 
 
@@ -223,11 +229,21 @@ def clean_auto_list(staged: DataFrame) -> DataFrame:
 
 
 def call_log_owner(calls: DataFrame, lines: dict[str, str]) -> DataFrame:
-    """Calls of known people: the caller's line, else its shown name, else the called line.
+    """Calls of known people: the first person listed whose name stands on either side of the call.
 
-    ``lines`` maps the names a phone system shows to a person; calls of nobody listed drop out.
+    ``lines`` maps the names a phone system shows to a person, in order of precedence; calls
+    of nobody listed drop out.
     """
-    owner = F.coalesce(*(mapped(c, lines) for c in ("from_who", "cid_name", "to_whom")))
+    shown = ("from_who", "cid_name", "to_whom")
+
+    def is_on(person: str) -> Column:
+        names = [name for name, p in lines.items() if p == person]
+        on = F.lit(False)
+        for column in shown:
+            on = on | F.coalesce(same_text(F.col(column), *names), F.lit(False))
+        return F.when(on, F.lit(person))
+
+    owner = F.coalesce(*(is_on(person) for person in dict.fromkeys(lines.values())))
     seconds = seconds_of("length")
     return (
         calls.withColumn("owner", owner)

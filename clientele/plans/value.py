@@ -195,9 +195,35 @@ def population_at_risk(grid: DataFrame, by_life_week: DataFrame) -> DataFrame:
 
 
 def value_curve(grid: DataFrame, by_life_week: DataFrame) -> DataFrame:
-    """The cumulative curve together with its denominators."""
-    return cumulative_value_curve(grid).join(
-        population_at_risk(grid, by_life_week), ["lead_source", "purchase_week_num"], "left"
+    """The cumulative curve together with its denominators.
+
+    Cells and ages are stacked and added up once per source and week, so both running sums
+    go over one short table and nothing is joined back.  NULL is a source like any other.
+    """
+    week = F.col("purchase_week_num").alias("week")
+    cells = grid.select("lead_source", week, "invoice", "count_orders", F.lit(0).alias("n"), F.lit(1).alias("cell"))
+    ages = by_life_week.select(
+        "lead_source",
+        F.col("life_week").alias("week"),
+        F.lit(0).alias("invoice"),
+        F.lit(0).alias("count_orders"),
+        F.col("count").alias("n"),
+        F.lit(0).alias("cell"),
+    )
+    steps = (
+        cells.unionByName(ages)
+        .groupBy("lead_source", "week")
+        .agg(*(F.sum(c).alias(c) for c in ("invoice", "count_orders", "n")), F.max("cell").alias("cell"))
+    )
+    lived = remaining_total(steps, ["lead_source"], "week", "n", "all_id_count")
+    summed = running_total(lived, ["lead_source"], "week", "invoice", "cum_inv")
+    return summed.filter("cell = 1").select(
+        "lead_source",
+        F.col("week").alias("purchase_week_num"),
+        F.col("invoice").cast(grid.schema["invoice"].dataType).alias("invoice"),
+        "count_orders",
+        "cum_inv",
+        "all_id_count",
     )
 
 

@@ -6,7 +6,6 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from clientele.config import DIAL_SCHEDULE
 from clientele.plans import calls, geo, opportunities, sales
 
 D = dt.date
@@ -45,6 +44,9 @@ def test_consult_match_equals_brute_force(spark):
     assert seen == expected
 
 
+DIAL_SCHEDULE = {"rep_1": ((2, 3), 2), "rep_2": ((1, 2, 3, 4, 5), 3), "rep_3": ((1, 3, 5), 3), "rep_4": ((2, 4), 2)}
+
+
 def dial(spark, rows):
     return spark.createDataFrame(rows, "id long, round int, caller string, result string")
 
@@ -57,16 +59,19 @@ def test_dial_rounds_follow_the_callers_schedule(spark, rows):
             (2, 2, "rep_4", None), (2, 4, "rep_4", " "),
             (3, 4, "rep_4", "late"),
             (4, 2, "rep_4", "a"), (4, 2, "rep_4", " "),
+            # The larger result is another caller's: result and caller are those of one row.
+            (5, 2, "rep_4", "a"), (5, 2, "rep_1", "b"),
         ],
     )
-    wide = calls.dial_rounds_wide(df)
+    wide = calls.dial_rounds_wide(df, DIAL_SCHEDULE)
     assert rows(wide, "id", "caller", "result1", "result2", "result3") == [
         (1, "rep_4", "No answer", "no_count", ""),
         (2, "rep_4", "", "", ""),
         (4, "rep_4", "a", "", ""),
+        (5, "rep_1", "b", "", ""),
     ]
     assert rows(calls.never_reached_list(wide)) == [(2, "rep_4")]
-    assert rows(calls.dial_coverage(wide)) == [("rep_4", 3, 1, 1, 1)]
+    assert rows(calls.dial_coverage(wide, DIAL_SCHEDULE)) == [("rep_1", 1, 0, 1, 0), ("rep_4", 3, 1, 1, 1)]
 
 
 def test_coverage_adds_up(spark):
@@ -75,7 +80,7 @@ def test_coverage_adds_up(spark):
     data = [
         (i, n, f"rep_{1 + i % 4}", rng.choice(results)) for i in range(200) for n in range(1, 6) if rng.random() < 0.8
     ]
-    cover = calls.dial_coverage(calls.dial_rounds_wide(dial(spark, data))).collect()
+    cover = calls.dial_coverage(calls.dial_rounds_wide(dial(spark, data), DIAL_SCHEDULE), DIAL_SCHEDULE).collect()
     assert len(cover) == len(DIAL_SCHEDULE)
     assert all(r.full_address + r.partly_address + r.non_address == r.total_request for r in cover)
 
@@ -100,6 +105,24 @@ def test_phone_time_report(spark):
     assert (row.ave_time_day, row.bench_mark, row.variance) == ("13:15:00", "01:00:00", "1225.00%")
 
 
+def test_owner_is_the_first_person_listed(spark):
+    log = spark.createDataFrame(
+        [(1, "1/5/2015", "00:01:00", "desk 2", "", "CA [DESK 1]"), (2, "1/5/2015", "00:01:00", "desk 2", None, "desk 2")],
+        "id long, date string, length string, from_who string, cid_name string, to_whom string",
+    )
+    lines = {"DESK 1": "rep_1", "DESK 2": "rep_2", "CA [DESK 1]": "rep_1"}
+    assert {r.id: r.owner for r in calls.call_log_owner(log, lines).collect()} == {1: "rep_1", 2: "rep_2"}
+
+
+def test_day_pivot_counts_the_other_days(spark):
+    df = spark.createDataFrame(
+        [("rep_1", D(2015, 6, 1), 4, "1"), ("rep_1", D(2015, 6, 2), 4, "2"), ("rep_1", None, 4, "3")],
+        "caller string, date date, target int, opty_id string",
+    )
+    row = calls.call_day_pivot(df, [D(2015, 6, 1)]).first()
+    assert (row.day_2015_06_01, row.other_days) == ("1/4 --- 25.00%", 2)
+
+
 def test_day_pivot_without_target_has_no_text(spark):
     df = spark.createDataFrame(
         [("rep_1", D(2015, 6, 1), 4, "1"), ("rep_9", D(2015, 6, 1), 0, "2")],
@@ -197,6 +220,6 @@ def test_disposition(spark, result, kept):
 
 
 def test_auto_list(spark):
-    df = spark.createDataFrame([("7/1/2015", "5 min"), ("x", "m")], "note string, duration string")
+    df = spark.createDataFrame([("7/1/2015", "5 min"), ("7/1/2015", "12 min"), ("x", "m")], "note string, duration string")
     got = [tuple(r) for r in calls.clean_auto_list(df).select("note", F.col("duration")).collect()]
-    assert got == [(D(2015, 7, 1), 5), (None, None)]
+    assert got == [(D(2015, 7, 1), 5), (D(2015, 7, 1), 12), (None, None)]

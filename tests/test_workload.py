@@ -7,7 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as app
-from workload.inputs import TABLES
+from workload.inputs import TABLES, Inputs
+from workload.registry import QUERIES
 
 FOLDER = os.environ.get("TEST_SF_DIR", app.SMOKE_DIR)
 KINDS = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
@@ -46,8 +47,21 @@ def test_query_matches_sql(spark, duck, name):
 
 
 def test_random_numbers_have_five_digits(spark):
-    numbers = [r.num for r in app.queries()["q_blast_list_random"](spark, FOLDER).select("num").collect()]
-    assert numbers and all(10000 <= n <= 99999 for n in numbers)
+    drawn = [r.in_range for r in app.queries()["q_blast_list_random"](spark, FOLDER).select("in_range").collect()]
+    assert drawn and all(drawn)
+
+
+@pytest.mark.parametrize("name", ["q_sms_list", "q_route_leads", "q_scorecard_sent", "q_responses", "q_value_curve"])
+def test_plans_start_no_job(spark, name):
+    inputs = Inputs(spark, FOLDER)
+    for table in TABLES:
+        getattr(inputs, table)  # reading a schema takes a job
+    spark.sparkContext.setJobGroup(f"plan {name}", "building a plan")
+    try:
+        QUERIES[name].plan(inputs)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"plan {name}")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_entry_has_rows(spark):

@@ -6,7 +6,7 @@ from datetime import date, timedelta
 
 from pyspark.sql import functions as F
 
-from clientele.config import DIAL_SCHEDULE, FINAL_DISPOSITIONS
+from clientele.config import FINAL_DISPOSITIONS
 from clientele.plans import calls, geo, leads, opportunities, sales
 from clientele.operators.diff import snapshot_diff
 from workload.lead_queries import BASE
@@ -37,6 +37,25 @@ SELLERS = {"0": "rep_1", "1": "rep_2", "2": "rep_3", "3": "rep_4", "4": "rep_5"}
 SELLER_CODES = list(SELLERS.values())
 PIVOT_DAYS = [date(2024, 1, 1) + timedelta(days=n) for n in range(7)]
 
+# Invented staffing: rounds each caller dials and how many touched ones are enough, the calls
+# each should make a day, and the days each works.
+DIAL_SCHEDULE = {
+    "rep_1": ((1, 2), 2),
+    "rep_2": ((1, 2, 3, 4), 3),
+    "rep_3": ((3, 4, 5), 2),
+    "rep_4": ((2, 5), 1),
+}
+CALL_TARGET = {"rep_1": 40, "rep_2": 25, "rep_3": 60, "rep_4": 50}
+CALL_SHIFT = {
+    "rep_1": ("Monday", "Tuesday"),
+    "rep_2": ("Monday", "Saturday"),
+    "rep_3": ("Thursday", "Friday", "Saturday"),
+    "rep_4": ("Tuesday", "Wednesday", "Sunday"),
+}
+# Invented amounts: where a sale counts as large, and prices that count apart.
+BIG_TICKET = 20_000
+SMALL_AMOUNTS = ("297", "0.25", "997", "450")
+
 # ---- snapshots ------------------------------------------------------------------------
 
 
@@ -175,12 +194,9 @@ def q_current_opportunity(i):
 
 _ATTEMPTS = f"""
 SELECT opty_id, caller, date, attempt, dayname(date) AS day_name,
-  CAST(CASE caller WHEN 'rep_1' THEN 86 WHEN 'rep_2' THEN 70 WHEN 'rep_3' THEN 100 WHEN 'rep_4' THEN 33 ELSE 0 END
-    AS BIGINT) AS target,
-  CASE WHEN caller = 'rep_1' AND dayname(date) IN ('Wednesday', 'Thursday')
-    OR caller = 'rep_2' AND dayname(date) IN ('Wednesday', 'Thursday', 'Friday')
-    OR caller = 'rep_3' AND dayname(date) IN ('Wednesday', 'Thursday', 'Friday', 'Sunday')
-    OR caller = 'rep_4' AND dayname(date) IN ('Tuesday', 'Thursday', 'Friday') THEN 'Y' ELSE 'N' END AS work
+  CAST(CASE caller {" ".join(f"WHEN '{c}' THEN {n}" for c, n in CALL_TARGET.items())} ELSE 0 END AS BIGINT) AS target,
+  CASE WHEN {" OR ".join(f"caller = '{c}' AND dayname(date) IN {days}" for c, days in CALL_SHIFT.items())}
+    THEN 'Y' ELSE 'N' END AS work
 FROM (
   SELECT opty_id, caller_1 AS caller, date_1 AS date, 'call_once' AS attempt FROM {{call_attempts}}
   UNION ALL SELECT opty_id, caller_2, date_2, 'call_twice' FROM {{call_attempts}}
@@ -190,13 +206,13 @@ WHERE NOT {blank("caller")}"""
 
 @query(_ATTEMPTS)
 def q_attempts_long(i):
-    return calls.call_attempts_long(i.call_attempts)
+    return calls.call_attempts_long(i.call_attempts, CALL_TARGET, CALL_SHIFT)
 
 
 @query(f"""
 SELECT caller, date, day_name, target, count(opty_id) AS number_called FROM ({_ATTEMPTS}) AS a GROUP BY ALL""")
 def q_calls_per_day(i):
-    return calls.calls_per_day(calls.call_attempts_long(i.call_attempts))
+    return calls.calls_per_day(calls.call_attempts_long(i.call_attempts, CALL_TARGET, CALL_SHIFT))
 
 
 def _day_cell(d: date) -> str:
@@ -208,9 +224,10 @@ def _day_cell(d: date) -> str:
 
 
 @query(f"""
-SELECT caller, {", ".join(_day_cell(d) for d in PIVOT_DAYS)} FROM ({_ATTEMPTS}) AS a GROUP BY caller, target""")
+SELECT caller, {", ".join(_day_cell(d) for d in PIVOT_DAYS)},
+  count(*) FILTER (date IS NULL OR date NOT BETWEEN DATE '{PIVOT_DAYS[0]}' AND DATE '{PIVOT_DAYS[-1]}') AS other_days FROM ({_ATTEMPTS}) AS a GROUP BY caller, target""")
 def q_call_day_pivot(i):
-    return calls.call_day_pivot(calls.call_attempts_long(i.call_attempts), PIVOT_DAYS)
+    return calls.call_day_pivot(calls.call_attempts_long(i.call_attempts, CALL_TARGET, CALL_SHIFT), PIVOT_DAYS)
 
 
 _D1, _D2, _OUT = (f"NOT {blank(c)}" for c in ("date_1", "date_2", "out_come"))
@@ -257,11 +274,12 @@ def _shown(result: str) -> str:
 def _rounds_of(caller: str, rounds: tuple[int, ...]) -> str:
     """One caller's wide table by joining the rounds of the schedule one by one."""
     per_round = (
-        "(SELECT id, max(result) AS result, max(caller) AS caller FROM {dial_results} WHERE round = %d GROUP BY id)"
+        "(SELECT id, result, caller FROM {dial_results} WHERE round = %d QUALIFY "
+        "row_number() OVER (PARTITION BY id ORDER BY result DESC NULLS LAST, caller DESC NULLS LAST) = 1)"
     )
     cols = [
         f"{_shown(f'r{n}.result')} AS result{k + 1}" if n else f"'' AS result{k + 1}"
-        for k, n in enumerate([*rounds, *[0] * (5 - len(rounds))])
+        for k, n in enumerate([*rounds, *[0] * (WIDTH - len(rounds))])
     ]
     joins = " ".join(
         f"LEFT JOIN {per_round % n} AS r{n} ON r{n}.id = r{rounds[0]}.id" for n in rounds[1:]
@@ -272,42 +290,48 @@ def _rounds_of(caller: str, rounds: tuple[int, ...]) -> str:
     )
 
 
+WIDTH = max(len(rounds) for rounds, _ in DIAL_SCHEDULE.values())
 _WIDE = " UNION ALL ".join(_rounds_of(c, rounds) for c, (rounds, _) in DIAL_SCHEDULE.items())
-_TOUCHED = " + ".join(f"CAST(result{k} <> '' AS INT)" for k in range(1, 6))
-_ENDED = " OR ".join(f"result{k} = 'no_count'" for k in range(1, 6))
+_TOUCHED = " + ".join(f"CAST(result{k} <> '' AS INT)" for k in range(1, WIDTH + 1))
+_ENDED = " OR ".join(f"result{k} = 'no_count'" for k in range(1, WIDTH + 1))
 
 
 @query(_WIDE)
 def q_dial_rounds(i):
-    return calls.dial_rounds_wide(i.dial_results)
+    return calls.dial_rounds_wide(i.dial_results, DIAL_SCHEDULE)
 
 
 @query(f"""
 SELECT caller, count(DISTINCT id) AS total_request, count(*) FILTER (is_full) AS full_address,
   count(*) FILTER (NOT is_full AND touched > 0) AS partly_address, count(*) FILTER (touched = 0) AS non_address
-FROM (SELECT *, {_TOUCHED} AS touched, ({_ENDED}) OR {_TOUCHED} >= CASE caller WHEN 'rep_4' THEN 2 ELSE 3 END AS is_full
+FROM (SELECT *, {_TOUCHED} AS touched, ({_ENDED}) OR {_TOUCHED} >= CASE caller {" ".join(f"WHEN '{c}' THEN {n}" for c, (_, n) in DIAL_SCHEDULE.items())} END AS is_full
   FROM ({_WIDE}) AS w) AS t GROUP BY caller""")
 def q_dial_coverage(i):
-    return calls.dial_coverage(calls.dial_rounds_wide(i.dial_results))
+    return calls.dial_coverage(calls.dial_rounds_wide(i.dial_results, DIAL_SCHEDULE), DIAL_SCHEDULE)
 
 
 @query(f"""
 SELECT id, caller FROM ({_WIDE}) AS w WHERE {_TOUCHED} = 0""")
 def q_never_reached(i):
-    return calls.never_reached_list(calls.dial_rounds_wide(i.dial_results))
+    return calls.never_reached_list(calls.dial_rounds_wide(i.dial_results, DIAL_SCHEDULE))
 
 
 @query(f"""
-SELECT id, {slash_date("note")} AS note, CAST(TRY_CAST(left(duration, 1) AS INT) AS BIGINT) AS duration FROM {{auto_list}}""")
+SELECT id, {slash_date("note")} AS note, TRY_CAST(regexp_extract(duration, '^\\s*([0-9]+)', 1) AS BIGINT) AS duration FROM {{auto_list}}""")
 def q_auto_list(i):
     return calls.clean_auto_list(i.auto_list)
 
 
-def _line(c: str) -> str:
-    return (
-        f"CASE lower(trim({c})) WHEN 'desk 1' THEN 'rep_1' WHEN 'desk - 2' THEN 'rep_2' WHEN 'desk 3' THEN 'rep_3' "
-        f"WHEN 'ca [desk 1]' THEN 'rep_1' END"
-    )
+def _on(*names: str) -> str:
+    listed = ", ".join(f"'{n}'" for n in names)
+    return " OR ".join(f"lower(trim(coalesce({c}, ''))) IN ({listed})" for c in ("from_who", "cid_name", "to_whom"))
+
+
+# The first person found on either side of the call, in the order of the list.
+_OWNER = (
+    f"CASE WHEN {_on('desk 1', 'ca [desk 1]')} THEN 'rep_1' WHEN {_on('desk - 2')} THEN 'rep_2' "
+    f"WHEN {_on('desk 3')} THEN 'rep_3' END"
+)
 
 
 _SECONDS = (
@@ -317,7 +341,7 @@ _SECONDS = (
 _OWNED = f"""
 SELECT * FROM (
   SELECT id, {slash_date("date")} AS date, length, from_who, cid_name, to_whom,
-    coalesce({_line("from_who")}, {_line("cid_name")}, {_line("to_whom")}) AS owner, {_SECONDS} AS length_sec
+    {_OWNER} AS owner, {_SECONDS} AS length_sec
   FROM {{call_log}}) AS c WHERE owner IS NOT NULL"""
 
 
@@ -397,20 +421,20 @@ def q_sales_pivot(i):
 
 @query(f"""
 SELECT week_number, {", ".join(_cell(s, f"referral_partner = '{s}' AND {_OFF}") for s in SELLER_CODES[:4])},
-  {_cell("rep_5", f"referral_partner = 'rep_5' AND {_OFF} AND inv_total < 15000")},
+  {_cell("rep_5", f"referral_partner = 'rep_5' AND {_OFF} AND inv_total < {BIG_TICKET}")},
   {_cell("other", "referral_partner = 'Other'")},
-  {_cell("big_ticket", "product_name = 'Personal Coaching' AND inv_total >= 15000")},
-  {_cell("fixed_price", "referral_partner = 'rep_4' AND inv_total IN (297, 0.01, 997, 700)")}, {_TOTALS}
+  {_cell("big_ticket", f"product_name = 'Personal Coaching' AND inv_total >= {BIG_TICKET}")},
+  {_cell("fixed_price", f"referral_partner = 'rep_4' AND inv_total IN ({', '.join(SMALL_AMOUNTS)})")}, {_TOTALS}
 FROM ({_SALES}) AS s GROUP BY week_number""")
 def q_sales_pivot_v2(i):
     return sales.sales_week_pivot_v2(
         _sales(i),
         SELLER_CODES,
         capped_seller="rep_5",
-        big_ticket=15000,
+        big_ticket=BIG_TICKET,
         big_product="Personal Coaching",
         small_seller="rep_4",
-        small_amounts=["297", "0.01", "997", "700"],
+        small_amounts=list(SMALL_AMOUNTS),
     )
 
 
