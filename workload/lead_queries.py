@@ -87,6 +87,10 @@ def _tidy(df):
     return rounded(df, "effect_sales", "earned")
 
 
+def _tidy_both(df):
+    return rounded(_tidy(df), "adv_effect_sales", "adv_earned")
+
+
 @query(f"""
 SELECT r.*, v.num_deliv, round(r.earned / v.num_deliv, 4) AS earned_over_deliv FROM ({_per_mail(_SENT_PAIRS)}) AS r
 LEFT JOIN (SELECT mail_id, count(*) AS num_deliv FROM {{sends}} GROUP BY 1) AS v ON v.mail_id = r.mail_id""")
@@ -149,29 +153,20 @@ FROM ({_per_mail(pairs)}) AS a LEFT JOIN ({_per_mail(_creative(pairs))}) AS c ON
 
 @query(_card(_SENT_PAIRS, {"num_deliv": "{sends}"}, "num_deliv", "per_deliv"))
 def q_scorecard_sent(i):
-    card = attribution.mail_scorecard(
-        _tidy(attribution.revenue_by_sent(i.mail_invoices, i.sends, i.broadcasts)),
-        _tidy(_creative_sent(i)),
-        [attribution.rows_per_mail(i.sends, "num_deliv")],
-        "num_deliv",
-        "per_deliv",
-    )
+    both = attribution.both_by_sent(i.mail_invoices, i.sends, i.broadcasts)
+    volumes = [attribution.rows_per_mail(i.sends, "num_deliv")]
+    card = attribution.mail_scorecard(_tidy_both(both), volumes, "num_deliv", "per_deliv")
     return rounded(card, "all_per_deliv", "adv_per_deliv", digits=4)
 
 
 @query(_card(_OPEN_PAIRS, {"num_opened": "{opens}", "num_deliv": "{sends}"}, "num_opened", "per_open"))
 def q_scorecard_open(i):
+    both = attribution.both_by_open(i.mail_invoices, i.opens, i.broadcasts)
     volumes = [
         attribution.rows_per_mail(i.opens, "num_opened"),
         attribution.rows_per_mail(i.sends, "num_deliv"),
     ]
-    card = attribution.mail_scorecard(
-        _tidy(attribution.revenue_by_open(i.mail_invoices, i.opens)),
-        _tidy(_creative_open(i)),
-        volumes,
-        "num_opened",
-        "per_open",
-    )
+    card = attribution.mail_scorecard(_tidy_both(both), volumes, "num_opened", "per_open")
     return rounded(card, "all_per_open", "adv_per_open", digits=4)
 
 
