@@ -104,24 +104,28 @@ def dial_area(
 
 def birthday_list(
     contacts: DataFrame,
-    opportunities: DataFrame,
+    opportunities: DataFrame | None,
     first: tuple[int, int],
     last: tuple[int, int],
-    base_url: str,
+    base_url: str = "",
 ) -> DataFrame:
     """Contacts with a phone whose birthday falls into the window, as leads.
 
-    ``opportunities`` has one row per contact.
+    ``opportunities``, if given, has one row per contact.
     """
     group = country_group("country")
     wanted = contacts.filter(in_day_window("dob", first, last) & not_blank("phone"))
-    opp = opportunities.select(
-        "contact_id",
-        F.col("owner").alias("opty_owner"),
-        record_link(base_url, "opp_id").alias("opty_link"),
-        "stage",
-    )
-    return wanted.join(opp, "contact_id", "left").select(
+    held: tuple[str, ...] = ()
+    if opportunities is not None:
+        held = ("opty_owner", "opty_link", "stage")
+        opp = opportunities.select(
+            "contact_id",
+            F.col("owner").alias("opty_owner"),
+            record_link(base_url, "opp_id").alias("opty_link"),
+            "stage",
+        )
+        wanted = wanted.join(opp, "contact_id", "left")
+    return wanted.select(
         "contact_id",
         F.concat("first_name", F.lit(" "), "last_name").alias("name"),
         F.lit("Birthday this week").alias("what_done"),
@@ -130,9 +134,7 @@ def birthday_list(
         "phone",
         "country",
         group.alias("seg_country"),
-        "opty_owner",
-        "opty_link",
-        "stage",
+        *held,
         dial_area("phone", "country").alias("time_city"),
     )
 

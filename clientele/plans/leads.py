@@ -151,37 +151,66 @@ def segment_exclusive_contacts(responses: DataFrame, segment: str) -> DataFrame:
     )
 
 
-def call_leads(
-    responses: DataFrame, opportunities: DataFrame, base_url: str, hot: DataFrame | None = None
+def attach_opportunity(
+    leads: DataFrame, opportunities: DataFrame, base_url: str, hot: DataFrame | None = None
 ) -> DataFrame:
-    """Responders to call (seg3 and seg5) with their opportunity and dial area.
+    """Owner, stage and link of each contact's current opportunity.
 
-    ``hot`` may name the contacts with very many responses, see ``spread_join``.
+    It depends on the contact alone, so a list of leads gets it once, when it is down to the
+    best ones.  ``hot`` may name the contacts with very many leads, see ``spread_join``.
     """
+    return spread_join(leads, _opportunity_columns(opportunities, base_url), "contact_id", "left", hot=hot)
+
+
+def call_leads(
+    responses: DataFrame,
+    opportunities: DataFrame | None = None,
+    base_url: str = "",
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Responders to call (seg3 and seg5) with their dial area and, if given, opportunity."""
     chosen = responses.filter(F.col("actions").isin("seg3", "seg5"))
-    opp = _opportunity_columns(opportunities, base_url)
-    return spread_join(chosen, opp, "contact_id", "left", hot=hot).withColumn(
-        "time_city", dial_area("phone", "country", "city")
+    if opportunities is not None:
+        chosen = attach_opportunity(chosen, opportunities, base_url, hot)
+    return chosen.withColumn("time_city", dial_area("phone", "country", "city"))
+
+
+def cohort_segments(responses: DataFrame, segment: str) -> DataFrame:
+    """Contacts that responded to one segment (such as a relabelled link) with the number of
+    different segments they responded to."""
+    return (
+        responses.groupBy("contact_id")
+        .agg(
+            F.countDistinct("segment").alias("ct"),
+            F.max(F.coalesce(same_text("segment", segment), F.lit(False))).alias("_in"),
+        )
+        .filter("_in")
+        .drop("_in")
     )
 
 
 def purchase_leads(
     purchases: DataFrame,
-    opportunities: DataFrame,
-    time_zones: DataFrame,
-    base_url: str,
+    opportunities: DataFrame | None = None,
+    time_zones: DataFrame | None = None,
+    base_url: str = "",
     patterns: Iterable[str] = SMALL_TICKET_PATTERNS,
     low: int = 1,
     high: int = 300,
 ) -> DataFrame:
-    """Buyers of listed products for a small amount, one row per contact (the largest)."""
+    """Buyers of listed products for a small amount, one row per contact (the largest), with
+    their time zone and opportunity, where these tables are given."""
     wanted = purchases.filter(like_any("product", patterns) & F.col("invoice").between(low, high))
     best = top_per_key(wanted, "contact_id", [F.desc("invoice"), "inv_id"])
     placed = best.withColumn("seg_country", country_group("country")).withColumn(
         "time_city", dial_area("phone", "country", layout="before_paren", unknown_is_domestic=True)
     )
-    zoned = lookup(placed, time_zones, "time_city", "city")
-    return zoned.join(_opportunity_columns(opportunities, base_url), "contact_id", "left")
+    if time_zones is not None:
+        placed = lookup(placed, time_zones, "time_city", "city")
+    if opportunities is not None:
+        # One row per contact is left on both sides.
+        placed = placed.join(_opportunity_columns(opportunities, base_url), "contact_id", "left")
+    return placed
 
 
 def unify_leads(
@@ -198,7 +227,8 @@ def unify_leads(
     if birthdays is not None:
         parts.append(birthdays)
     cut = [p.select(*(c for c in LEAD_COLUMNS if c in p.columns)) for p in parts]
-    return union_all(*cut).select(*LEAD_COLUMNS)
+    united = union_all(*cut)
+    return united.select(*(c for c in LEAD_COLUMNS if c in united.columns))
 
 
 def add_lead_rank(leads: DataFrame, ranks: dict[str, int] = LEAD_RANK, by: str = "segment") -> DataFrame:

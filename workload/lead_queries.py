@@ -247,6 +247,13 @@ def q_exclusive(i):
     return leads.segment_exclusive_contacts(by_class, "seg1")
 
 
+@query(f"""
+SELECT contact_id, count(DISTINCT segment) AS ct FROM ({_RESPONSES}) AS r GROUP BY contact_id
+HAVING bool_or(segment = 'inner')""")
+def q_cohort(i):
+    return leads.cohort_segments(_responses(i), "inner")
+
+
 _CALLS = f"""
 SELECT r.*, o.owner AS opty_owner, o.stage, '{BASE}' || CAST(o.opp_id AS VARCHAR) AS opty_link,
   {area_or_place("r.phone", "r.country", f"coalesce({nb('r.country')}, {nb('r.city')})")} AS time_city
@@ -339,8 +346,14 @@ SELECT * FROM ({_ZONED}) AS z
 WHERE contact_id NOT IN (SELECT id FROM {{no_call}} WHERE reason IS NOT NULL)"""
 
 
+def _bare(i):
+    """All leads without their opportunities."""
+    birthdays = contacts.birthday_list(i.contacts, None, (7, 6), (7, 26))
+    return leads.unify_leads(leads.call_leads(_responses(i)), leads.purchase_leads(i.purchases), birthdays)
+
+
 def _unified(i):
-    return leads.unify_leads(_call_leads(i), _buyers(i), _birthdays(i))
+    return leads.attach_opportunity(_bare(i), i.opportunities, BASE).select(*leads.LEAD_COLUMNS)
 
 
 def _ranked(i):
@@ -352,7 +365,9 @@ def _typed(i):
 
 
 def _best(i):
-    return leads.best_lead_per_contact(_typed(i))
+    typed = leads.split_new_old(leads.add_lead_rank(_bare(i)), WEEK_START)
+    best = leads.best_lead_per_contact(typed)
+    return leads.attach_opportunity(best, i.opportunities, BASE)
 
 
 def _callable(i):
