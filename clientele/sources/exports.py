@@ -42,9 +42,10 @@ def read_export(
     return rows.withColumn(BAD_ROW, F.when(first != F.lit("\0"), F.col(BAD_ROW)))
 
 
-def write_export(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_export(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
     """Write comma-separated files with a header line."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    quoted = df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    quoted.option("encoding", encoding).csv(path)
 
 
 def load_report(export: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from clientele.operators.pick import first_n_per_key
 from clientele.operators.reshape import count_columns, union_all
 from clientele.operators.rewrite import add_after, delete_where, set_where
 from clientele.operators.shares import share_of_count, share_of_sum
-from clientele.plans import quality, value
+from clientele.plans import quality, staging, value
 from clientele.sources import exports, schemas, tables
 from workload.registry import cash, query, rounded, slash_date
 
@@ -30,6 +30,69 @@ def q_csv_roundtrip(i):
     return value.clean_invoices(exports.good_rows(export)).select(*_EXPORTED, "inv_paid")
 
 
+def _through_file(i, rows, layout, encoding="UTF-8"):
+    """Write rows as an export of the layout, columns they lack left empty, and read it again."""
+    have = set(rows.columns)
+    full = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in layout]
+    path = tables.new_table_path(i.spark, "export")
+    exports.write_export(rows.select(*full), path, encoding=encoding)
+    return exports.good_rows(exports.read_export(i.spark, path, layout, encoding=encoding))
+
+
+def _slash_text(day):
+    return F.date_format(day, "M/d/yyyy")
+
+
+@query("""
+SELECT contact_id, 'Señor "' || name || '", küche' AS name, CASE WHEN country = '' THEN NULL ELSE country END AS country,
+  product, CASE WHEN inv_id % 5 = 0 THEN 0 ELSE CAST(invoice AS DOUBLE) * 1000 + 0.5 END AS invoice, count(*) AS n
+FROM {purchases} GROUP BY ALL""".replace("CASE WHEN inv_id % 5 = 0 THEN 0 ELSE", "CASE WHEN inv_id % 5 = 0 THEN CAST(0 AS DOUBLE) ELSE"))
+def q_export_purchases(i):
+    amount = F.concat(F.lit("$"), F.format_number(F.col("invoice") * 1000 + F.lit(0.5).cast("decimal(2,1)"), 2))
+    rows = i.purchases.select(
+        "contact_id",
+        F.concat(F.lit('Señor "'), "name", F.lit('", küche')).alias("name"),
+        F.when(F.col("country") != "", F.col("country")).alias("country"),
+        "product",
+        F.when(F.col("inv_id") % 5 == 0, " ").otherwise(amount).alias("invoice"),
+    )
+    read = staging.clean_purchases(_through_file(i, rows, schemas.WEEKLY_PURCHASES, "ISO-8859-1"))
+    return read.groupBy("contact_id", "name", "country", "product", "invoice").agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT contact_id, batch_id, sent, opened, clicked, link, count(*) AS n FROM {mail_activity} GROUP BY ALL""")
+def q_export_mail_activity(i):
+    days = {c: F.coalesce(_slash_text(c), F.lit(" ")) for c in ("sent", "opened", "clicked")}
+    rows = i.mail_activity.withColumns(days)
+    read = staging.clean_mail_activity(_through_file(i, rows, schemas.MAIL_ACTIVITY))
+    keys = ["contact_id", "batch_id", "sent", "opened", "clicked", "link"]
+    return read.groupBy(*keys).agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT mail_id, date, template FROM {broadcasts}""")
+def q_export_broadcasts(i):
+    rows = i.broadcasts.withColumn("date", F.concat(_slash_text("date"), F.lit(" 9:05")))
+    return staging.clean_broadcasts(_through_file(i, rows, schemas.BROADCASTS)).select("mail_id", "date", "template")
+
+
+@query("""
+SELECT contact_id, provider, CASE WHEN contact_id % 7 = 0 THEN NULL ELSE date END AS date, count(*) AS n FROM (
+  SELECT o_custkey AS contact_id, 'rep, ' || CAST(o_custkey % 4 AS VARCHAR) AS provider, CAST(o_orderdate AS DATE) AS date
+  FROM {orders}) AS o GROUP BY ALL""")
+def q_export_consults(i):
+    key = F.col("o_custkey")
+    dotted = F.date_format("o_orderdate", "M.d.yyyy")
+    rows = i.orders.select(
+        key.alias("contact_id"),
+        F.concat(F.lit("rep, "), (key % 4).cast("string")).alias("provider"),
+        F.when(key % 7 == 0, "next week").otherwise(dotted).alias("date"),
+    )
+    read = staging.clean_consult_bookings(_through_file(i, rows, schemas.CONSULT_BOOKINGS))
+    return read.groupBy("contact_id", "provider", "date").agg(F.count("*").alias("n"))
+
+
 @query("""
 SELECT count(*) AS rows_read, count(*) FILTER (o_custkey % 7 = 0) AS bad_rows,
   min(o_custkey) FILTER (o_custkey % 7 <> 0) AS low_key, max(o_custkey) FILTER (o_custkey % 7 <> 0) AS high_key
