@@ -38,8 +38,8 @@ SQL["op1_embeddings"] = """
 WITH RECURSIVE valid AS (
   SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(CAST(embedding AS DOUBLE[]), x -> x <> 0)) > 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x <> 0)) > 0
 ), links AS (
   SELECT a.vec_id AS p, b.vec_id AS q FROM valid a JOIN valid b
   ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
@@ -61,6 +61,31 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+SQL["op2_minhash"] = """
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) > 1
+    THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM split
+), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+common AS (
+  SELECT a.doc_id AS p, b.doc_id AS q, count(*) AS both_have, any_value(a.n) + any_value(b.n) AS total
+  FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT p, q FROM common WHERE 100 * both_have >= 80 * (total - both_have)
+), either AS (SELECT p, q FROM links UNION ALL SELECT q, p FROM links),
+reach AS (
+  SELECT doc_id AS p, doc_id AS q FROM documents
+  UNION
+  SELECT reach.p, either.q FROM reach JOIN either ON reach.q = either.p
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, r.component_id, s.doc_id = r.component_id AS kept
+FROM sets s JOIN (SELECT p, min(q) AS component_id FROM reach GROUP BY p) r ON r.p = s.doc_id
+"""
+
+
 @query
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License phrases and notices in all documents."""
