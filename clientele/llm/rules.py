@@ -32,13 +32,14 @@ BLANKS = r"[\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
+SMOOTH, WORD_LENGTH = 8, 5
 QUOTA = 0.75
 STEPS = 3
 LEAST = 50
 CUTOFF = 26.0  # squared distance; below 1 in 10,000 for four normal statistics
 # The least spread of each statistic that counts as unusual, so that a statistic which is 0
 # nearly everywhere does not make every other value an outlier.
-FLOORS = (0.08, 0.08, 0.15, 0.1)
+FLOORS = (0.08, 0.06, 0.15, 0.1)
 BINS_PER_OCTAVE = 8
 _DIM = len(FLOORS)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -86,10 +87,14 @@ def base_failed(least_words: int = 10, most_repeated: int = 20) -> Column:
 
 
 def statistics() -> list[Column]:
-    """Transformed rates: length of words, symbols, repeated lines, repeated runs of words."""
-    n = F.greatest(F.col("n_words"), F.lit(1)).cast("double")
+    """Transformed rates: length of words, symbols, repeated lines, repeated runs of words.
+
+    Rates are taken with SMOOTH more words of usual length, without anything unusual, so that
+    the mean of a few words does not make a short text an outlier.
+    """
+    n = (F.col("n_words") + SMOOTH).cast("double")
     return [
-        F.log(F.greatest(F.col("word_chars") / n, F.lit(1.0))),
+        F.log((F.col("word_chars") + SMOOTH * WORD_LENGTH) / n),
         F.log1p(F.col("n_symbols") / n),
         F.col("n_dup_lines") / F.greatest(F.col("_n_lines"), F.lit(1)),
         F.col("n_repeat_words") / n,
