@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from clientele.sources import tables
 
-# Rows per Arrow batch.  A batch is held whole by a Python worker, and one text may be long.
-BATCH_ROWS = 256
-_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Bytes per Arrow batch.  A batch is held whole by a Python worker: a few hundred texts of usual
+# length, or one very long one, or thousands of rows of numbers.
+BATCH_BYTES = 1 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 @lru_cache
@@ -34,8 +35,7 @@ def small_batches(spark: SparkSession) -> None:
     """Make Python tasks ready: the package on the executors, and whole texts handed over in
     batches that fit beside the executor's heap."""
     _ship(spark.sparkContext.applicationId)
-    if int(spark.conf.get(_BATCH_CONF)) != BATCH_ROWS:
-        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+    spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 
 def partitions(spark: SparkSession) -> int:
@@ -55,3 +55,12 @@ def piece_of(columns: Sequence[str], pieces: int):
     """A piece number that depends on a row's content only, so that a repeated task deals
     every row to the same place."""
     return F.pmod(F.xxhash64(*columns), F.lit(pieces)).cast("int")
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of finished steps.
+
+    It does so when the driver's JVM collects its garbage, which a chain of many small jobs
+    may not cause for a long time.
+    """
+    spark.sparkContext._jvm.System.gc()

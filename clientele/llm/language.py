@@ -32,6 +32,7 @@ PLACES = 1 << 15
 SAMPLE = 2_000
 LANDMARKS = 96
 RIDGE = 1e-3
+BLOCK = 128  # texts whose presence rows are held at once
 UNKNOWN = "und"
 
 
@@ -64,7 +65,10 @@ class Model:
     def decide(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         """The best language of each text and its score from 0 to 1."""
         marks = _unit(np.unpackbits(self.landmarks, axis=1)[:, :PLACES].astype(np.float32))
-        values = _unit(present(texts)) @ marks.T @ self.weights.astype(np.float32)
+        weights = self.weights.astype(np.float32)
+        values = np.vstack(
+            [_unit(present(texts.iloc[a : a + BLOCK])) @ marks.T @ weights for a in range(0, max(len(texts), 1), BLOCK)]
+        )
         best = values.argmax(axis=1)
         score = np.clip((1 + values[np.arange(len(best)), best]) / 2, 0, 1)
         return np.array(self.languages, dtype=object)[best], score.astype(float)
@@ -88,7 +92,8 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
 
     def features(batches):
         for batch in batches:
-            bits = np.packbits(present(batch["text"]) > 0, axis=1)
+            parts = [present(batch["text"].iloc[a : a + BLOCK]) > 0 for a in range(0, max(len(batch), 1), BLOCK)]
+            bits = np.vstack([np.packbits(p, axis=1) for p in parts])
             yield pd.DataFrame(
                 {"doc_id": batch["doc_id"], "lang": batch["lang"], "bits": [b.tobytes() for b in bits]}
             )

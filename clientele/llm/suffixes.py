@@ -36,13 +36,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientele.llm.common import keep, small_batches
+from clientele.llm.common import keep, release, small_batches
 from clientele.llm.minhash import _whole_groups
 from clientele.llm.words import mix, running_hash, span_hash, text_buffer
 
 LENGTH = 400
 GRAM = 8  # bytes whose hash decides a cut
 MOST_LEVELS = 40
+# Periods, in phrases, that are looked for.
+PERIODS = 8
+# Symbols at which the recursion ends in one task; a constant, however large the input.
+BASE = 100_000
 
 
 def window_of(length: int) -> int:
@@ -152,25 +156,36 @@ def runs(residue: DataFrame, length: int) -> DataFrame:
     """Runs of neighbouring repeated phrases, one row per phrase, with digests of what follows.
 
     ``short`` digests the phrases from here that make up the reach of ``length``, ``long``
-    those that make up ``length`` itself and ``far`` their size; NULL where the run ends before.
+    those that make up ``length`` itself and ``far`` their size; 0 where the run ends before.
+    Runs shorter than the reach hold no repeated string and are left out, and so are the inner
+    phrases of periodic stretches: these are repeated as they stand, rows with place -1.
     """
-    reach = reach_of(length)
+    reach, window = reach_of(length), window_of(length)
 
     def strung(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame, at in _whole_groups(batches, ["key"]):
             start, size = frame["start"].to_numpy(np.int64), frame["size"].to_numpy(np.int64)
-            new = np.zeros(len(frame), bool)
-            new[at[:-1]] = True
-            new[1:] |= start[1:] != start[:-1] + size[:-1]
-            first = np.flatnonzero(new)
-            run = np.cumsum(new) - 1
-            end = np.append(first[1:], len(frame))[run]
+            symbol, keys = frame["hash"].to_numpy(), frame["key"].to_numpy()
+            row = np.arange(len(frame))
+            first_of_key = np.zeros(len(frame), bool)
+            first_of_key[at[:-1]] = True
+
+            def numbered(chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+                """Of the chosen rows: the number of the run each is in, where runs begin and end."""
+                new = np.ones(len(chosen), bool)
+                new[1:] = (
+                    (np.diff(chosen) != 1)
+                    | first_of_key[chosen[1:]]
+                    | (start[chosen[1:]] != start[chosen[:-1]] + size[chosen[:-1]])
+                )
+                begin = np.flatnonzero(new)
+                return np.cumsum(new) - 1, begin, np.append(begin[1:], len(chosen))
+
+            run, begin, stop = numbered(row)
+            end = stop[run]
             total = np.concatenate([[0], np.cumsum(size)])
             # A running polynomial over the phrases' hashes gives digests of any stretch.
-            symbol = frame["hash"].to_numpy()
-            pieces = symbol.view(np.uint8).reshape(len(frame), 8).reshape(-1)
-            running = running_hash(pieces)
-            row = np.arange(len(frame))
+            running = running_hash(symbol.view(np.uint8).reshape(len(frame), 8).reshape(-1))
 
             def digest(bytes_: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 upto = np.searchsorted(total, total[row] + bytes_)
@@ -180,28 +195,53 @@ def runs(residue: DataFrame, length: int) -> DataFrame:
 
             short, has_short, _ = digest(reach)
             long, has_long, far = digest(length)
-            string = mix(
-                frame["key"].to_numpy().astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                + start[first][run].astype(np.uint64)
-            ).astype(np.int64)
-            # Terminators are negative, below all ranks.
-            end_mark = -((string.view(np.uint64) >> np.uint64(2)).astype(np.int64)) - 1
-            yield pd.DataFrame(
-                {
-                    "string": string,
-                    "terminator": end_mark,
-                    "place": (row - first[run]).astype(np.int32),
-                    "symbol": symbol,
-                    "size": size.astype(np.int32),
-                    "key": frame["key"],
-                    "start": start.astype(np.int32),
-                    "before": frame["before"],
-                    "short": np.where(has_short, short, 0),
-                    "has_short": has_short,
-                    "long": np.where(has_long, long, 0),
-                    "far": np.where(has_long, far, 0).astype(np.int32),
-                }
-            )
+            useful = (total[stop] - total[begin])[run] >= reach
+            sure = []
+            for q in range(1, PERIODS + 1):
+                same = np.zeros(len(frame) + 1, bool)
+                same[q:-1] = (symbol[q:] == symbol[:-q]) & (run[q:] == run[:-q])
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], same])))
+                for a, b in zip(edge[::2], edge[1::2], strict=True):
+                    low, high = start[a - q], start[b - 1] + size[b - 1]
+                    if high - low >= length + total[a] - total[a - q]:
+                        # Every string of ``length`` bytes in here recurs one period on or back.
+                        # Strings that reach out of it hold its first or last bytes only.
+                        sure.append((keys[a], low, high - low))
+                        near = length + 2 * window
+                        useful[a - q : b] &= (start[a - q : b] < low + near) | (
+                            start[a - q : b] + size[a - q : b] > high - near
+                        )
+            chosen = np.flatnonzero(useful)
+            run, begin, _ = numbered(chosen)
+            if len(chosen):
+                string = mix(
+                    keys[chosen].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+                    + start[chosen][begin][run].astype(np.uint64)
+                ).astype(np.int64)
+                yield pd.DataFrame(
+                    {
+                        "string": string,
+                        # Terminators are negative, below all ranks.
+                        "terminator": -((string.view(np.uint64) >> np.uint64(2)).astype(np.int64)) - 1,
+                        "place": (np.arange(len(chosen)) - begin[run]).astype(np.int32),
+                        "symbol": symbol[chosen],
+                        "size": size[chosen].astype(np.int32),
+                        "key": keys[chosen],
+                        "start": start[chosen].astype(np.int32),
+                        "before": frame["before"].to_numpy()[chosen],
+                        "short": np.where(has_short, short, 0)[chosen],
+                        "has_short": has_short[chosen],
+                        "long": np.where(has_long, long, 0)[chosen],
+                        "far": np.where(has_long, far, 0)[chosen].astype(np.int32),
+                    }
+                )
+            if sure:
+                # Periodic stretches as rows of their own, at no place of any string.
+                columns = pd.DataFrame(sure, columns=["key", "start", "far"]).astype({"start": "int32", "far": "int32"})
+                yield columns.assign(
+                    string=0, terminator=-1, place=np.int32(-1), symbol=0, size=np.int32(0), before=np.int32(2**30),
+                    short=0, has_short=False, long=0,
+                )[["string", "terminator", "place", "symbol", "size", "key", "start", "before", "short", "has_short", "long", "far"]]
 
     return residue.repartition("key").sortWithinPartitions("key", "start").mapInPandas(
         strung,
@@ -263,15 +303,47 @@ def in_order(rows: DataFrame, by: Sequence[str], flags: Sequence[str]) -> DataFr
     )
 
 
+def _base_ranks(strings: DataFrame) -> DataFrame:
+    """The end of the recursion: at most BASE symbols, sorted in one task by prefix doubling."""
+
+    def ranked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        frames = [b for b in batches if len(b)]
+        if not frames:
+            return
+        rows = pd.concat(frames, ignore_index=True)
+        new = np.ones(len(rows), bool)
+        new[1:] = rows["string"].to_numpy()[1:] != rows["string"].to_numpy()[:-1]
+        first = np.flatnonzero(new)
+        run = np.cumsum(new) - 1
+        # All strings in a row, each with its terminator behind it; terminators rank lowest.
+        at = np.arange(len(rows)) + run
+        ends = np.append(first[1:], len(rows)) + np.arange(len(first))
+        rank = np.zeros(len(rows) + len(first), np.int64)
+        rank[ends] = np.argsort(np.argsort(rows["terminator"].to_numpy()[first]))
+        rank[at] = len(first) + np.unique(rows["symbol"].to_numpy(), return_inverse=True)[1]
+        step = 1
+        while rank.max() + 1 < len(rank):
+            then = rank[np.minimum(np.arange(len(rank)) + step, len(rank) - 1)]
+            rank = np.unique(rank * (len(rank) + 1) + then, return_inverse=True)[1]
+            step *= 2
+        yield rows[["string", "place"]].assign(rank=rank[at] - len(first))
+
+    one = strings.repartition(1).sortWithinPartitions("string", "place")
+    return one.mapInPandas(ranked, "string long, place int, rank long")
+
+
 def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
     """The rank of every suffix of every string: string, place, rank.
 
     ``strings`` has string, place (from 0 without gaps), symbol (0 or more in effect: any order
     serves), size (bytes a symbol stands for) and terminator (negative, one per run).  Suffixes
-    that agree for ``enough`` bytes may come in any order.
+    that agree for ``enough`` bytes may come in any order; ranks are unique where none do.
     """
     if level > MOST_LEVELS:
         raise RuntimeError("the suffix recursion does not end")
+    strings = keep(strings, "strings")
+    if strings.count() <= BASE:
+        return _base_ranks(strings)
     along = Window.partitionBy("string").orderBy("place")
     lead = lambda c, k: F.lead(c, k).over(along)
     wide = keep(
@@ -297,15 +369,19 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
         "string", "place", "terminator", "symbol", "in1", "next", "in2", "after", "size3", "ends", "class"
     )
     # A triple's name is the position of its first row: in the order of triples, equal for equal.
-    named = keep(
-        in_order(sample, ["symbol", "in1", "next", "in2", "after"], []).withColumnRenamed("first", "name"), "named"
-    )
-    open_ = named.groupBy("name").agg(F.count("*").alias("n"), F.min("size3").alias("size3")).filter(
-        (F.col("n") > 1) & (F.col("size3") < enough)
+    named = in_order(sample, ["symbol", "in1", "next", "in2", "after"], []).withColumnRenamed("first", "name")
+    open_ = keep(
+        named.groupBy("name")
+        .agg(F.count("*").alias("n"), F.min("size3").alias("size3"))
+        .filter((F.col("n") > 1) & (F.col("size3") < enough))
+        .select("name"),
+        "open",
     )
     if open_.isEmpty():
         ranks = named.select("string", "place", F.col("position").alias("rank"))
     else:
+        # Only strings with a name that is neither unique nor long enough go on.  Others are
+        # ordered by their names; of one open name all places are in strings that go on.
         below = named.select(
             F.xxhash64("string", "class").alias("string"),
             F.floor((F.col("place") - 1) / 3).cast("int").alias("place"),
@@ -315,13 +391,18 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
             F.col("string").alias("_string"),
             F.col("place").alias("_place"),
         )
-        deeper = suffix_ranks(below.drop("_string", "_place"), enough, level + 1)
-        ranks = below.join(deeper, ["string", "place"]).select(
-            F.col("_string").alias("string"), F.col("_place").alias("place"), "rank"
+        going = below.join(open_.withColumnRenamed("name", "symbol"), "symbol", "left_semi").select("string").distinct()
+        deeper = suffix_ranks(
+            below.join(going, "string", "left_semi").drop("_string", "_place"), enough, level + 1
         )
-        ranks = keep(
-            in_order(ranks, ["rank"], []).select("string", "place", F.col("position").alias("rank")), "sampled"
+        refined = below.join(deeper, ["string", "place"], "left").select(
+            F.col("_string").alias("string"),
+            F.col("_place").alias("place"),
+            F.col("symbol").alias("name"),
+            F.coalesce("rank", F.lit(0)).alias("inner"),
         )
+        ranks = in_order(refined, ["name", "inner"], []).select("string", "place", F.col("position").alias("rank"))
+    release(strings.sparkSession)
     # Ranks of the next two suffixes of every place; behind the end, the terminator.
     placed = wide.join(ranks, ["string", "place"], "left")
     follow = lambda k: F.coalesce(F.lead("rank", k).over(along), F.col("terminator"))
@@ -362,7 +443,7 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
         .join(with2.filter("class = 0").select("string", "place", F.col("other_before").alias("_second")), ["string", "place"])
         .select("string", "place", (F.col("_first") + F.col("_second")).alias("rank"))
     )
-    return keep(samples.unionByName(zeros), "ranks")
+    return samples.unionByName(zeros)
 
 
 # ---- from the array to spans ------------------------------------------------------------
@@ -375,7 +456,7 @@ SPANS = "array<struct<f:bigint,t:bigint>>"
 def shared_prefixes(suffixes: DataFrame, ranks: DataFrame) -> DataFrame:
     """Places whose ``short`` prefix a neighbour in the array shares: key, start, before, short,
     far (the size of the ``long`` prefix where that is shared too, else 0)."""
-    ranked = suffixes.join(ranks, ["string", "place"])
+    ranked = suffixes.filter("place >= 0").join(ranks, ["string", "place"])
     at = F.col("rank") % STRETCH
     own = F.floor(F.col("rank") / STRETCH)
     # The first and last rank of a stretch are shown to the next stretch as well.
@@ -393,9 +474,10 @@ def shared_prefixes(suffixes: DataFrame, ranks: DataFrame) -> DataFrame:
         .filter("_own = _stretch AND has_short AND _short > 0")
     )
     certain = F.col("has_long") & (F.col("_long") > 0)
+    periodic = suffixes.filter("place < 0").select("key", "start", "before", "short", "far")
     return compared.select(
         "key", "start", "before", "short", F.when(certain, F.col("far")).otherwise(0).alias("far")
-    )
+    ).unionByName(periodic)
 
 
 def _open_places(shared: DataFrame, sizes: DataFrame, length: int) -> DataFrame:
@@ -444,9 +526,10 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     sizes = rows.groupBy("key").agg(F.max("n_bytes").alias("n_bytes"), F.count("*").alias("copies"))
     residue = keep(repeated(phrases(keyed, length)), "residue")
     suffixes = keep(runs(residue, length), "suffixes")
-    enough = 2 * (length + window_of(length))
-    ranks = suffix_ranks(suffixes.select("string", "place", "symbol", "size", "terminator"), enough)
-    shared = shared_prefixes(suffixes, ranks)
+    release(docs.sparkSession)
+    # Equal prefixes of the reach must stand side by side; what agrees further may be in any order.
+    strings = suffixes.filter("place >= 0").select("string", "place", "symbol", "size", "terminator")
+    shared = shared_prefixes(suffixes, suffix_ranks(strings, reach_of(length)))
     places = keep(_open_places(shared, sizes.select("key", "n_bytes"), length), "places")
     # A start that is open must be compared with all that share its prefix, certain or not.
     asked = places.join(places.filter("open").select("short").distinct(), "short", "left_semi").filter("high >= low")

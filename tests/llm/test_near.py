@@ -93,8 +93,9 @@ def test_suffix_query(spark, small, small_docs):
     assert sorted(map(tuple, found), key=str) == repeats(small_docs, 400)
 
 
-@pytest.mark.parametrize("length", [24, 100])
-def test_repeats_on_edges(spark, edge, none, length):
+@pytest.mark.parametrize(("length", "base"), [(24, 200), (100, suffixes.BASE)])
+def test_repeats_on_edges(spark, edge, none, monkeypatch, length, base):
+    monkeypatch.setattr(suffixes, "BASE", base)
     r = random.Random(length)
     passages = [prose(70 + k, 20) for k in range(6)]
     mixed = []
@@ -117,7 +118,9 @@ def test_repeats_on_edges(spark, edge, none, length):
         assert short[302].text == "y" * length and short[300].text == "" and short[12].text is None
 
 
-def test_suffix_ranks_are_lexicographic(spark):
+@pytest.mark.parametrize("base", [0, suffixes.BASE])
+def test_suffix_ranks_are_lexicographic(spark, monkeypatch, base):
+    monkeypatch.setattr(suffixes, "BASE", base)
     r = random.Random(8)
     strings = [[r.randint(0, 2) for _ in range(r.randint(1, 40))] for _ in range(25)] + [[1] * 50, [1] * 49]
     rows = [(k, i, s, 1, -1 - k) for k, x in enumerate(strings) for i, s in enumerate(x)]
