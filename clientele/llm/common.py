@@ -57,6 +57,16 @@ def piece_of(columns: Sequence[str], pieces: int):
     return F.pmod(F.xxhash64(*columns), F.lit(pieces)).cast("int")
 
 
+def forget(tables_made: list[DataFrame]) -> None:
+    """Delete tables made by ``keep`` that no later step reads, and empty the list."""
+    for df in tables_made:
+        jvm, files = df.sparkSession.sparkContext._jvm, df.inputFiles()
+        if files:
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    tables_made.clear()
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark drop the shuffle files of finished steps.
 

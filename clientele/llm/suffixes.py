@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientele.llm.common import keep, release, small_batches
+from clientele.llm.common import forget, keep, release, small_batches
 from clientele.llm.minhash import _whole_groups
 from clientele.llm.words import mix, running_hash, span_hash, text_buffer
 
@@ -253,12 +253,15 @@ def runs(residue: DataFrame, length: int) -> DataFrame:
 # ---- the suffix array -----------------------------------------------------------------
 
 
-def in_order(rows: DataFrame, by: Sequence[str], flags: Sequence[str]) -> DataFrame:
+def in_order(
+    rows: DataFrame, by: Sequence[str], flags: Sequence[str], made: list[DataFrame] | None = None
+) -> DataFrame:
     """Add to every row its position in the order of ``by``, and for each boolean flag how many
     rows before it have the flag: ``position`` and ``<flag>_before``; ``new`` marks the first
     row of each value of ``by`` and ``first`` is that row's position.
 
-    A range sort, local counts, and one number per partition and flag added up.
+    A range sort, local counts, and one number per partition and flag added up.  The table
+    written is noted in ``made``.
     """
     names = ["position", *(f"{f}_before" for f in flags)]
 
@@ -290,6 +293,8 @@ def in_order(rows: DataFrame, by: Sequence[str], flags: Sequence[str]) -> DataFr
     )
     sorted_rows = rows.repartitionByRange(*by).sortWithinPartitions(*by).mapInPandas(counted, schema)
     local = keep(sorted_rows, "sorted")
+    if made is not None:
+        made.append(local)
     # One row per partition, whatever the number of rows.
     sums = local.groupBy("part").agg(
         F.count("*").alias("_position"), *(F.count_if(f).alias(f"_{f}_before") for f in flags)
@@ -332,18 +337,24 @@ def _base_ranks(strings: DataFrame) -> DataFrame:
     return one.mapInPandas(ranked, "string long, place int, rank long")
 
 
-def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
+def suffix_ranks(
+    strings: DataFrame, enough: int, level: int = 0, made: list[DataFrame] | None = None
+) -> DataFrame:
     """The rank of every suffix of every string: string, place, rank.
 
     ``strings`` has string, place (from 0 without gaps), symbol (0 or more in effect: any order
     serves), size (bytes a symbol stands for) and terminator (negative, one per run).  Suffixes
-    that agree for ``enough`` bytes may come in any order; ranks are unique where none do.
+    that agree for ``enough`` bytes may come in any order; ranks are unique where none do.  The tables the
+    result still depends on are left in ``made``.
     """
     if level > MOST_LEVELS:
         raise RuntimeError("the suffix recursion does not end")
+    made = [] if made is None else made
     strings = keep(strings, "strings")
     if strings.count() <= BASE:
+        made.append(strings)
         return _base_ranks(strings)
+    used = [strings]
     along = Window.partitionBy("string").orderBy("place")
     lead = lambda c, k: F.lead(c, k).over(along)
     wide = keep(
@@ -365,11 +376,12 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
         ),
         "triples",
     )
+    used.append(wide)
     sample = wide.filter("class > 0").select(
         "string", "place", "terminator", "symbol", "in1", "next", "in2", "after", "size3", "ends", "class"
     )
     # A triple's name is the position of its first row: in the order of triples, equal for equal.
-    named = in_order(sample, ["symbol", "in1", "next", "in2", "after"], []).withColumnRenamed("first", "name")
+    named = in_order(sample, ["symbol", "in1", "next", "in2", "after"], [], used).withColumnRenamed("first", "name")
     open_ = keep(
         named.groupBy("name")
         .agg(F.count("*").alias("n"), F.min("size3").alias("size3"))
@@ -393,7 +405,7 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
         )
         going = below.join(open_.withColumnRenamed("name", "symbol"), "symbol", "left_semi").select("string").distinct()
         deeper = suffix_ranks(
-            below.join(going, "string", "left_semi").drop("_string", "_place"), enough, level + 1
+            below.join(going, "string", "left_semi").drop("_string", "_place"), enough, level + 1, used
         )
         refined = below.join(deeper, ["string", "place"], "left").select(
             F.col("_string").alias("string"),
@@ -401,7 +413,7 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
             F.col("symbol").alias("name"),
             F.coalesce("rank", F.lit(0)).alias("inner"),
         )
-        ranks = in_order(refined, ["name", "inner"], []).select("string", "place", F.col("position").alias("rank"))
+        ranks = in_order(refined, ["name", "inner"], [], used).select("string", "place", F.col("position").alias("rank"))
     release(strings.sparkSession)
     # Ranks of the next two suffixes of every place; behind the end, the terminator.
     placed = wide.join(ranks, ["string", "place"], "left")
@@ -422,16 +434,20 @@ def suffix_ranks(strings: DataFrame, enough: int, level: int = 0) -> DataFrame:
         ),
         "merging",
     )
+    forget(used)
     with1 = in_order(
         merged.filter("class <> 2").select("string", "place", "class", "rank", "symbol", "rank1", "zero", "other"),
         ["symbol", "rank1"],
         ["zero", "other"],
+        made,
     )
     with2 = in_order(
         merged.filter("class <> 1").select("string", "place", "class", "rank", "symbol", "in1", "next", "rank2", "zero", "other"),
         ["symbol", "in1", "next", "rank2"],
         ["zero", "other"],
+        made,
     )
+    forget([merged])
     samples = (
         with1.filter("class = 1").select("string", "place", (F.col("rank") + F.col("zero_before")).alias("rank"))
     ).unionByName(
@@ -526,11 +542,15 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     sizes = rows.groupBy("key").agg(F.max("n_bytes").alias("n_bytes"), F.count("*").alias("copies"))
     residue = keep(repeated(phrases(keyed, length)), "residue")
     suffixes = keep(runs(residue, length), "suffixes")
+    forget([residue])
     release(docs.sparkSession)
     # Equal prefixes of the reach must stand side by side; what agrees further may be in any order.
     strings = suffixes.filter("place >= 0").select("string", "place", "symbol", "size", "terminator")
-    shared = shared_prefixes(suffixes, suffix_ranks(strings, reach_of(length)))
+    made = [suffixes]
+    shared = shared_prefixes(suffixes, suffix_ranks(strings, reach_of(length), made=made))
     places = keep(_open_places(shared, sizes.select("key", "n_bytes"), length), "places")
+    forget(made)
+    release(docs.sparkSession)
     # A start that is open must be compared with all that share its prefix, certain or not.
     asked = places.join(places.filter("open").select("short").distinct(), "short", "left_semi").filter("high >= low")
     wanted = asked.select("key", F.struct("low", "high").alias("ask"), F.lit(None).cast("struct<f:bigint,t:bigint>").alias("sure"))
