@@ -7,7 +7,9 @@ labelled documents by grouped aggregation; a path with few labels is shrunk towa
 host, a host towards the overall rate, by a strength estimated from how much hosts, and
 paths within hosts, differ beyond chance.  The posterior multiplies both odds.
 
-The regression alone is fitted on a sample: the SAMPLE first labelled ids by their hash.
+The regression alone is fitted on a sample: the SAMPLE first labelled ids by their hash.  All
+words of the sample that tell enough by a likelihood ratio are used, however many; texts hold
+few of them, so they are kept as lists of numbers.
 Counts of sites use all labels, and all documents are scored by their whole text.
 
 Defined results: a NULL or empty text gives the evidence of a text without words.  NULL hosts
@@ -31,8 +33,7 @@ from pyspark.sql import functions as F
 from clientele.llm.common import keep, small_batches
 
 SAMPLE = 6_000  # labelled documents the regression is fitted on
-CUES = 128  # words that tell good from bad
-CUE_Z = 4.0  # standard errors a word's log odds must be from 0
+CUE_Z = 4.0  # signed root of the likelihood ratio from which a word tells good from bad
 RIDGE = 1.0
 THRESHOLD = 0.5
 LEAST_STRENGTH, MOST_STRENGTH = 4.0, 1_000.0
@@ -52,9 +53,11 @@ _KIND[[ord(c) for c in ".,;:'\"()-"]] = 6
 _WORD = re.compile(r"[^\W\d_]+")
 
 
-def features(texts, cues: dict[str, int]) -> np.ndarray:
-    """One row per text: rates of kinds of characters and of words, then which cues it holds."""
-    out = np.zeros((len(texts), _KINDS + 4 + len(cues)), np.float32)
+def features(texts, cues: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rates of kinds of characters and of words, one row per text; and the cues texts hold, as
+    numbers of texts and of cues side by side."""
+    out = np.zeros((len(texts), _KINDS + 4), np.float32)
+    held: list[list[int]] = []
     for row, text in zip(out, texts, strict=True):
         text = text if isinstance(text, str) else ""
         kinds = np.bincount(_KIND[np.frombuffer(text.encode(), np.uint8)], minlength=_KINDS)
@@ -65,15 +68,15 @@ def features(texts, cues: dict[str, int]) -> np.ndarray:
         words = _WORD.findall(text.lower())
         different = set(words)
         lines = text.split("\n")
-        row[_KINDS : _KINDS + 4] = (
+        row[_KINDS:] = (
             np.log1p(len(words)),
             letters / max(1, len(words)) / 10,
             len(different) / max(1, len(words)),
             1 - len(set(lines)) / len(lines),
         )
-        for cue in different & cues.keys():
-            row[_KINDS + 4 + cues[cue]] = 1
-    return out
+        held.append(sorted(cues[w] for w in different if w in cues))
+    at = np.repeat(np.arange(len(held)), [len(h) for h in held])
+    return out, at, np.array([c for h in held for c in h], np.int64)
 
 
 @dataclass
@@ -82,26 +85,73 @@ class Model:
     mean: np.ndarray
     scale: np.ndarray
     weights: np.ndarray
+    cue_weights: np.ndarray
     bias: float  # without the sample's own prior odds
 
     def evidence(self, texts) -> np.ndarray:
-        x = (features(texts, self.cues) - self.mean) / self.scale
-        return x.astype(float) @ self.weights + self.bias
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton's method."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x1.shape[1])
-    penalty = np.full(len(w), RIDGE)
+        rates, at, cue = features(texts, self.cues)
+        held = np.bincount(at, self.cue_weights[cue], minlength=len(rates))
+        return ((rates - self.mean) / self.scale).astype(float) @ self.weights + held + self.bias
+
+
+def _solve(times, diagonal: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Conjugate gradients, the closer the nearer ``wanted`` is to 0."""
+    found, rest = np.zeros(len(wanted)), wanted.copy()
+    size = np.linalg.norm(wanted)
+    enough = size * min(0.1, np.sqrt(size) / 100)
+    along = rest / diagonal
+    now = rest @ along
+    for _ in range(10 * len(wanted)):
+        if np.linalg.norm(rest) <= enough:
+            break
+        image = times(along)
+        step = now / (along @ image)
+        found += step * along
+        rest -= step * image
+        before, now = now, rest @ (rest / diagonal)
+        along = rest / diagonal + now / before * along
+    return found
+
+
+def _logistic(
+    x: np.ndarray, at: np.ndarray, cue: np.ndarray, n_cues: int, y: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, float]:
+    """Ridge logistic regression by Newton's method on rates and standardized cues: weights of
+    the rates, what holding each cue adds, and the rest."""
+    n, d = x.shape
+    share = np.bincount(cue, minlength=n_cues) / n
+    scale = np.maximum(np.sqrt(share * (1 - share)), 1e-2)
+    penalty = np.full(d + n_cues + 1, RIDGE)
     penalty[-1] = 1e-6
-    for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        step = np.linalg.solve((x1 * (p * (1 - p))[:, None]).T @ x1 + np.diag(penalty), x1.T @ (y - p) - penalty * w)
-        w += step
+
+    def times(w: np.ndarray) -> np.ndarray:
+        c = w[d:-1] / scale
+        return x @ w[:d] + np.bincount(at, c[cue], minlength=n) - share @ c + w[-1]
+
+    def back(r: np.ndarray) -> np.ndarray:
+        return np.concatenate([x.T @ r, (np.bincount(cue, r[at], minlength=n_cues) - share * r.sum()) / scale, [r.sum()]])
+
+    def loss(w: np.ndarray) -> float:
+        v = times(w)
+        return float(np.logaddexp(0, v).sum() - y @ v + penalty @ (w * w) / 2)
+
+    w = np.zeros(len(penalty))
+    best = loss(w)
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(times(w), -30, 30)))
+        s = p * (1 - p)
+        inner = ((1 - 2 * share) * np.bincount(cue, s[at], minlength=n_cues) + share**2 * s.sum()) / scale**2
+        diagonal = np.concatenate([(x * x).T @ s, inner, [s.sum()]]) + penalty
+        step = _solve(lambda v, s=s: back(s * times(v)) + penalty * v, diagonal, back(y - p) - penalty * w)
+        value = loss(w + step)
+        while value > best and np.abs(step).max() > 1e-6:
+            step = step / 2
+            value = loss(w + step)
+        w, best = w + step, value
         if np.abs(step).max() < 1e-6:
             break
-    return w[:-1], w[-1]
+    added = w[d:-1] / scale
+    return w[:d], added, float(w[-1] - share @ added)
 
 
 def fit(docs: DataFrame, labels: DataFrame, good: Column, doc_id: str = "doc_id", text: str = "text") -> Model | None:
@@ -126,30 +176,46 @@ def fit(docs: DataFrame, labels: DataFrame, good: Column, doc_id: str = "doc_id"
     if not n_good or not n_bad:
         return None
     words = F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+")))
-    odds = lambda k, n: F.log((k + 0.5) / (n - k + 0.5))
+    # Twice the log likelihood ratio of "as often in good as in bad texts".  Unlike log odds over
+    # their standard error it does not shrink for a word that only one kind of text holds.
+    part = lambda k, n, kind: F.when(k > 0, k * F.log(k * n_all / (n * kind))).otherwise(0.0)
+    g, b, n_all = F.col("g"), F.col("b"), float(n_good + n_bad)
+    ratio = 2 * (
+        part(g, g + b, n_good)
+        + part(b, g + b, n_bad)
+        + part(n_good - g, n_all - g - b, n_good)
+        + part(n_bad - b, n_all - g - b, n_bad)
+    )
     cues = (
         texts.select("good", words.alias("word"))
         .filter("word <> ''")
         .groupBy("word")
         .agg(F.sum("good").alias("g"), F.sum(1 - F.col("good")).alias("b"))
-        .withColumn("z", (odds(F.col("b"), n_bad) - odds(F.col("g"), n_good)) / F.sqrt(1 / (F.col("b") + 0.5) + 1 / (F.col("g") + 0.5)))
-        .filter(F.abs("z") >= CUE_Z)
-        .orderBy(F.desc(F.abs("z")), "word")
-        .limit(CUES)
+        .filter(ratio >= CUE_Z**2)
+        .select("word")
+        .orderBy("word")
     )
-    cue_no = {r["word"]: k for k, r in enumerate(cues.select("word").collect())}
+    # Words of at most SAMPLE texts.
+    cue_no = {r["word"]: k for k, r in enumerate(cues.collect())}
 
     def measured(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = features(batch["text"], cue_no)
-            yield pd.DataFrame({"id": batch["id"], "good": batch["good"], "x": [r.tobytes() for r in x]})
-
-    rows = texts.select("id", "good", "text").mapInPandas(measured, "id long, good int, x binary").toPandas()
-    rows = rows.sort_values(["id", "good", "x"], kind="stable")
+            x, at, cue = features(batch["text"], cue_no)
+            held = np.split(cue.astype(np.int32), np.cumsum(np.bincount(at, minlength=len(x)))[:-1])
+            yield pd.DataFrame(
+                {"id": batch["id"], "good": batch["good"], "x": [r.tobytes() for r in x], "held": [h.tobytes() for h in held]}
+            )
+
+    schema = "id long, good int, x binary, held binary"
+    rows = texts.select("id", "good", "text").mapInPandas(measured, schema).toPandas()
+    rows = rows.sort_values(["id", "good", "x", "held"], kind="stable")
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1)
+    cue = np.frombuffer(b"".join(rows["held"]), np.int32).astype(np.int64)
+    at = np.repeat(np.arange(len(rows)), [len(h) // 4 for h in rows["held"]])
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-2)
-    weights, bias = _logistic(((x - mean) / scale).astype(float), rows["good"].to_numpy(float))
-    return Model(cue_no, mean, scale, weights, float(bias - np.log(n_good / n_bad)))
+    standard = ((x - mean) / scale).astype(float)
+    weights, cue_weights, bias = _logistic(standard, at, cue, len(cue_no), rows["good"].to_numpy(float))
+    return Model(cue_no, mean, scale, weights, cue_weights, float(bias - np.log(n_good / n_bad)))
 
 
 def _strength(groups: DataFrame, rate: Column) -> float:

@@ -3,6 +3,7 @@
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from brute import counts, phrases
 from pyspark.sql import functions as F
@@ -117,6 +118,23 @@ def test_quality_tells_junk_from_prose(spark):
     assert sum(n for (x, kept), n in seen.items() if x[0] == 0 and not kept) >= 0.9 * bad
 
 
+def test_quality_finds_toxic_among_many_labels(spark):
+    """The more labels, the more words tell good from bad; those of toxic texts must stay among them."""
+    sf, good = "/root/testdata/sf0.1", queries.fit_for_training()
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "source", "lang")
+    away = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    twice = lambda t: t.withColumn("doc_id", F.explode(F.array("doc_id", F.col("doc_id") + 10**9)))
+    learned = twice(labels.filter(~away))
+    assert learned.count() > quality.SAMPLE
+    model = quality.fit(twice(docs), learned, good)
+    asked = docs.join(labels.filter(away), "doc_id").select("text", "quality", "toxic").toPandas()
+    kept = model.evidence(asked["text"]) + np.log(3) >= 0
+    toxic, clean = asked["toxic"] == 1, (asked["quality"] == 1) & (asked["toxic"] == 0)
+    assert (~kept[toxic]).sum() >= 0.9 * toxic.sum() and toxic.sum() > 50
+    assert kept[clean].sum() >= 0.97 * clean.sum()
+
+
 def test_quality_shrinks_sparse_sites(spark):
     docs = [(i, "some words here", "big", "p") for i in range(200)] + [(500, "x", "tiny", None), (501, "y", None, "p")]
     labels = [(i, int(i % 10 != 0)) for i in range(200)] + [(500, 0), (500, None)]
