@@ -10,6 +10,10 @@ The model is fitted on a bounded sample of the labelled rows: the ``sample`` fir
 hash of their id, dealt evenly over the languages.  Everything else reads all rows and whole
 texts.
 
+A text may be unlike every language.  Its likeness is the kernel to the landmarks of its language
+as a share of the most that as many grams can have, so that short and long texts compare; the
+least likeness allowed is taken from the learned texts of the language.
+
 Defined results: ``und`` with score 0 where the text is NULL or has no letter, and everywhere
 if there is nothing to learn from.  Repeated rows are scored alike.  Rows with a NULL id or
 language are scored and not learned from.  Equal scores go to the language that sorts first.
@@ -32,6 +36,7 @@ PLACES = 1 << 15
 SAMPLE = 2_000
 LANDMARKS = 96
 RIDGE = 1e-3
+LEAST_QUANTILE, LEAST_SHARE = 0.01, 0.75  # a likeness below this share of this quantile is none
 BLOCK = 128  # texts whose presence rows are held at once
 UNKNOWN = "und"
 
@@ -56,11 +61,21 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(size, 1)
 
 
+def _likeness(rows: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """The kernel of presence rows to unit rows of landmarks, from 0 to 1: by the most that as
+    many grams can have."""
+    centre = marks.sum(axis=0, dtype=np.float64).astype(np.float32)
+    most = np.concatenate([[0], np.cumsum(np.sort(centre)[::-1], dtype=np.float64)])
+    return rows @ centre / np.maximum(most[rows.sum(axis=1).astype(int)], 1e-9)
+
+
 @dataclass
 class Model:
     languages: list[str]
     landmarks: np.ndarray  # packed presence bits, one row per landmark
     weights: np.ndarray  # landmarks x languages
+    owners: np.ndarray  # the language of each landmark, by its place in languages
+    least: np.ndarray  # the likeness each language asks for
 
     def decide(self, texts: pd.Series) -> tuple[np.ndarray, np.ndarray]:
         """The best language of each text and its score from 0 to 1."""
@@ -73,6 +88,17 @@ class Model:
         score = np.clip((1 + values[np.arange(len(best)), best]) / 2, 0, 1)
         return np.array(self.languages, dtype=object)[best], score.astype(float)
 
+    def alike(self, texts: pd.Series, lang: np.ndarray) -> np.ndarray:
+        """Whether each text is like the texts learned of the language it is given."""
+        marks = _unit(np.unpackbits(self.landmarks, axis=1)[:, :PLACES].astype(np.float32))
+        out = np.zeros(len(texts), bool)
+        for k, name in enumerate(self.languages):
+            of = np.flatnonzero(lang == name)
+            for a in range(0, len(of), BLOCK):
+                part = of[a : a + BLOCK]
+                out[part] = _likeness(present(texts.iloc[part]), marks[self.owners == k]) >= self.least[k]
+        return out
+
 
 def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
     """Fit on a sample of the rows where ``learn`` holds; None without any."""
@@ -128,7 +154,17 @@ def fit(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "tex
     weight *= len(sample) / weight.sum() / len(sample)
     zw = z * weight[:, None]
     ridge = np.linalg.solve(z.T @ zw + RIDGE * np.eye(z.shape[1]), zw.T @ y)
-    return Model(languages, marks, white @ ridge)
+    # Learned texts are measured as new ones are: a landmark without itself.
+    code = np.searchsorted(languages, sample["lang"].to_numpy(dtype=object))
+    owners, least = code[order[:LANDMARKS]], np.zeros(len(languages))
+    for k in range(len(languages)):
+        own = order[:LANDMARKS][owners == k]
+        rest = np.setdiff1d(np.flatnonzero(code == k), own)
+        near, bits = base[owners == k], lambda at: np.unpackbits(packed[at], axis=1)[:, :PLACES].astype(np.float32)
+        found = [_likeness(bits(rest[a : a + BLOCK]), near) for a in range(0, len(rest), BLOCK)]
+        found += [_likeness(bits(own[i : i + 1]), np.delete(near, i, axis=0)) for i in range(len(own))]
+        least[k] = LEAST_SHARE * np.quantile(np.concatenate(found), LEAST_QUANTILE)
+    return Model(languages, marks, white @ ridge, owners, least)
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -149,6 +185,16 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     ).drop("_found")
 
 
+def alike(model: Model, text: str = "text", lang: str = "lang_pred") -> Column:
+    """Whether a text is like those learned of its language, rather than like no language."""
+
+    @F.pandas_udf("boolean")
+    def like(texts: pd.Series, langs: pd.Series) -> pd.Series:
+        return pd.Series(model.alike(texts, langs.to_numpy(dtype=object)), index=texts.index)
+
+    return like(F.col(text), F.col(lang))
+
+
 def held_out(doc_id: Column) -> Column:
     """The fifth of the ids that is kept from learning, by their checksum."""
     return F.coalesce(F.crc32(doc_id.cast("string")) % 5 == 0, F.lit(False))

@@ -19,8 +19,6 @@ from clientele.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Below this a text is like no language learned.
-LEAST_LANGUAGE_SCORE = 0.3
 # Bytes of a repeated passage, about fifty words.
 PASSAGE = 320
 SEQUENCE = 2_048
@@ -36,8 +34,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = language.identify(docs.select(F.struct(*docs.columns).alias("_row"), "text"), model)
     if model is None:
         return docs.filter(F.col("text").rlike(r"\p{L}"))
-    right = (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE_SCORE)
-    return found.filter(right).select("_row.*")
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & language.alike(model)).select("_row.*")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

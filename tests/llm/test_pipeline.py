@@ -1,5 +1,7 @@
 """The pipeline's stages on the small table, each against what it was given."""
 
+import random
+
 import pytest
 from brute import near, repeats
 from test_tokens import check_packing
@@ -41,6 +43,24 @@ def test_filters_keep_clean_documents(spark, small, steps):
     assert len(rows(steps["language ID"]).keys()) >= 0.98 * len(letters)
 
 
+def test_language_stage_rejects_what_is_like_no_language(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    r = random.Random(5)
+    kinds = ["abcdefghijklmnopqrstuvwxyz", "bcdfghjklmnpqrstvwxz", "0123456789abcdef", "абвгдежзийклмнопрстуфхцчшщ"]
+    kinds.append("".join(chr(0x4E00 + k) for k in range(3_000)))
+    word = lambda letters: "".join(r.choice(letters) for _ in range(r.randint(3, 9)))
+    strange = [
+        (10**6 + 100 * k + i, " ".join(word(letters) for _ in range(r.randint(20, 200))))
+        for k, letters in enumerate(kinds)
+        for i in range(20)
+    ]
+    # Without a language they are judged and not learned from.
+    more = spark.createDataFrame(strange, "doc_id long, text string")
+    kept = rows(pipeline.known_language(spark, docs.unionByName(more, allowMissingColumns=True), small))
+    assert sum(d >= 10**6 for d in kept) <= 0.02 * len(strange)
+    assert len(kept) >= 0.98 * docs.filter(r"text rlike '\\p{L}'").count()
+
+
 def test_one_of_each_group_stays(steps):
     given = list(rows(steps["quality classifier"]).items())
     assert sorted(rows(steps["MinHash near-dedup"])) == sorted(d for d, _, _, kept in near(given, 5, 80) if kept)
