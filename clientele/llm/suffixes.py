@@ -653,10 +653,79 @@ def digests(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text:
     )
 
 
-def remove(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def short_passages(keyed: DataFrame, length: int, words: int) -> DataFrame:
+    """Spans (key, spans) of all passages of ``words`` words in less than ``length`` bytes that
+    also stand elsewhere.  ``keyed`` has key and text; equal texts have one key.
+
+    Words are parted by ASCII blanks.  Longer passages of as many words are strings of ``length``
+    bytes, so that only texts of short words have rows here, one per word at most.
+    """
+
+    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = text_buffer(batch.column(1))
+            running = running_hash(data)
+            keys = batch.column(0).to_numpy(zero_copy_only=False)
+            inside = (data != 32) & ((data < 9) | (data > 13))
+            out: list[list[np.ndarray]] = [[], [], [], []]
+            for key, a, b in zip(keys, ends[:-1], ends[1:], strict=True):
+                edge = np.flatnonzero(np.diff(np.concatenate([[False], inside[a:b], [False]]).astype(np.int8)))
+                start, end = edge[::2], edge[1::2]
+                if len(start) < words:
+                    continue
+                start, end = start[: len(start) - words + 1], end[words - 1 :]
+                short = end - start < length
+                start, end = start[short], end[short]
+                out[0].append(span_hash(running, a + start, a + end))
+                out[1].append(np.full(len(start), key, np.int64))
+                out[2].append(start)
+                out[3].append(end - start)
+            if out[0]:
+                kinds = (np.int64, np.int64, np.int32, np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(c).astype(k)) for c, k in zip(out, kinds, strict=True)],
+                    names=["hash", "key", "start", "size"],
+                )
+
+    windows = lambda rows: rows.select("key", "text").mapInArrow(strings, "hash long, key long, start int, size int")
+    # Texts that are whole copies are one place to ``repeated``; all in them is repeated.
+    copied = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    copies = windows(keyed.join(copied, "key", "left_semi").dropDuplicates(["key"]))
+    return (
+        repeated(windows(keyed))
+        .unionByName(copies)
+        .groupBy("key")
+        # No longer than the text.
+        .agg(F.collect_set(F.struct(F.col("start").cast("long").alias("f"), (F.col("start") + F.col("size")).cast("long").alias("t"))).alias("spans"))
+    )
+
+
+def remove(
+    docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text", words: int | None = None
+) -> DataFrame:
     """The documents with all repeated passages taken out of their texts, whole characters at a
-    time; all other columns as they are."""
+    time; all other columns as they are.  With ``words``, passages of as many words are taken out
+    also where they have less than ``length`` bytes."""
     _, _, spans = find(docs, length, doc_id, text)
+    if words is not None:
+        whole = F.coalesce(F.col(text), F.lit(""))
+        short = short_passages(docs.select(F.xxhash64(whole).alias("key"), whole.alias("text")), length, words)
+
+        @F.pandas_udf(SPANS)
+        def joined(lists: pd.Series) -> pd.Series:
+            out = []
+            for found in lists:
+                merged: list[list[int]] = []
+                for a, b in sorted((s["f"], s["t"]) for s in found):
+                    if merged and a <= merged[-1][1]:
+                        merged[-1][1] = max(merged[-1][1], b)
+                    else:
+                        merged.append([a, b])
+                out.append([{"f": a, "t": b} for a, b in merged])
+            return pd.Series(out, index=lists.index, dtype=object)
+
+        both = spans.unionByName(short).groupBy("key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        spans = keep(both.select("key", joined("spans").alias("spans")), "spans")
     named = spans.select(F.col("key").alias("_key"), F.col("spans").alias("_spans"))
 
     @F.pandas_udf("string")

@@ -19,8 +19,9 @@ from clientele.session import tune
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Bytes of a repeated passage, about fifty words.
-PASSAGE = 320
+# A repeated passage has over fifty words, or so many bytes in fewer words.
+WORDS = 51
+PASSAGE = 250
 SEQUENCE = 2_048
 
 
@@ -57,8 +58,9 @@ def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def no_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that also stand elsewhere."""
-    shorter = suffixes.remove(docs, length=PASSAGE)
+    """Documents without the passages that also stand elsewhere, byte for byte: those of WORDS
+    words, however short, and those of PASSAGE bytes."""
+    shorter = suffixes.remove(docs, length=PASSAGE, words=WORDS)
     return shorter.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 

@@ -76,6 +76,22 @@ def test_passages_are_taken_out(steps):
     assert all(r.n_chars == len(r.text or "") for r in steps["suffix-array dedup"].collect())
 
 
+def test_passages_of_short_words_are_taken_out(spark, small):
+    r = random.Random(7)
+    words = lambda n: [r.choice("bcdfgh") + r.choice("aeiou")[: r.randint(0, 1)] + str(r.randint(0, 9)) for _ in range(n)]
+    own = lambda k, n: [f"{k}x{r.randrange(10**9)}" for _ in range(n)]
+    planted, texts, left = [" ".join(words(n)) for n in (51, 50, 51, 60)], [], []
+    assert max(map(len, planted)) < pipeline.PASSAGE
+    for k in range(8):
+        before, after = " ".join(own(k, 20)), " ".join(own(k, 20))
+        texts.append(f"{before} {planted[k // 2]}\n{after}")
+        left.append(f"{before} \n{after}" if k // 2 != 1 else texts[-1])
+    texts += [" ".join(words(55))] * 2 + [" ".join(words(40))] * 2
+    left += ["", "", texts[-1], texts[-1]]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert rows(pipeline.no_repeated_passages(spark, docs, small)) == dict(enumerate(left))
+
+
 def test_all_documents_are_packed(steps):
     packed = steps["best-fit packing"].collect()
     check_packing(packed, pipeline.SEQUENCE)
