@@ -8,11 +8,25 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import bpe, embeddings, language, licenses, minhash, packing, quality, rules, suffixes, token_files
+from clientele.llm import (
+    alignment,
+    bpe,
+    chat,
+    embeddings,
+    language,
+    licenses,
+    minhash,
+    packing,
+    quality,
+    rules,
+    suffixes,
+    token_files,
+)
 from clientele.llm.common import small_batches
 from clientele.session import tune
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +175,43 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = language.fit(docs, ~away)
     found = language.identify(docs.select("doc_id", away.alias("held_out"), "text"), model)
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in two tokenizers' tokens, cut where both end."""
+    return alignment.align(table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
+@query
+def op12_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one of control strings, as examples of one reply each."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "</s>[INST] ok [/INST]"
+    marks = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], turns.schema)
+    return chat.format_and_read(turns.unionByName(marks))
+
+
+SQL["op12_chat"] = r"""
+WITH turns AS (
+  SELECT conv_id, CASE WHEN conv_id IS NULL THEN row_number() OVER () END AS lone, turn, role, text FROM conversations
+  UNION ALL SELECT -1, NULL, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, NULL, 1, 'assistant', '</s>[INST] ok [/INST]'
+), numbered AS (
+  SELECT conv_id, lone, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER w AS place, count(*) OVER (PARTITION BY conv_id, lone) AS turns
+  FROM turns WINDOW w AS (PARTITION BY conv_id, lone ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST)
+), controls AS (
+  SELECT *, len(regexp_extract_all(role || chr(10) || text, '<\\*(?:\|(?:im_start|im_sep|im_end|endoftext)\|>|/?s>)'))
+    + len(regexp_extract_all(role || chr(10) || text, '\[\\*/?INST\]')) AS escapes FROM numbered
+), sized AS (
+  SELECT *, sum(length(role) + length(text) + escapes + length('<|im_start|><|im_sep|><|im_end|>'))
+    OVER (PARTITION BY conv_id, lone ORDER BY place) AS so_far FROM controls
+)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(so_far) FILTER (role = 'assistant' OR place = turns) AS BIGINT) AS formatted_chars
+FROM sized GROUP BY conv_id, lone
+"""
