@@ -17,6 +17,7 @@ from clientele.llm import (
     licenses,
     minhash,
     packing,
+    phrases,
     quality,
     rules,
     suffixes,
@@ -177,6 +178,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best collocations of each language in all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"), least=100, best=2000)
+
+
 @query
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in two tokenizers' tokens, cut where both end."""
