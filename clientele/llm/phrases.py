@@ -45,7 +45,7 @@ SHARD_WORDS = 1 << 18
 LONGEST = 5
 # A filter has at least 32 bits for each phrase in it while it is below its greatest size.
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 1 << 20, 1 << 28
-ROW_GROUP = 16 << 20
+GROUP_ROWS = 4  # shards in a row group of their table
 _BREAKS = byte_table(b".,;:!?\x0a\x0b\x0c\x0d")
 _BLANKS = byte_table(b" \t")
 _U = np.uint64
@@ -181,14 +181,8 @@ def index_shards(docs: DataFrame, text: str = "text", lang: str = "lang", size:
         F.coalesce(F.col(text), F.lit("")).alias("text"), F.coalesce(F.col(lang), F.lit("und")).alias("lang")
     ).mapInArrow(index, _SHARD_SQL)
     path = tables.new_table_path(spark, "phrase-shards")
-    # A shard is a row of some megabytes: row groups are closed by size from the first rows on.
-    (
-        shards.write.option("parquet.block.size", ROW_GROUP)
-        .option("parquet.block.size.row.check.min", 1)
-        .option("parquet.block.size.row.check.max", 4)
-        .option("compression", "zstd")
-        .parquet(path)
-    )
+    # A shard is a row of some megabytes, and a row group is held whole by who writes or reads it.
+    shards.write.option("parquet.block.row.count.limit", GROUP_ROWS).option("compression", "zstd").parquet(path)
     return spark.read.parquet(path)
 
 
