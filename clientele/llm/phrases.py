@@ -8,11 +8,12 @@ phrases grow on both sides.  All intervals of a shard are extended at once with
 operations.  The transforms order suffixes by their first words only, as many as a phrase may
 have and more; longer agreement never moves the border of an interval.
 
-Phrases are enumerated by length.  A shard extends to length k only what can be frequent: both
-phrases of k - 1 words inside must be.  Those found frequent over all shards are known to the tasks
-as a bit per hash value, in a filter of bounded size: what it lets through too much is
-counted exactly like the rest and drops out then.  Counts are summed per shard, per task and at
-last over all shards, by the phrase's text.
+A shard extends only what can be frequent: all phrases inside a phrase must be.  Words are counted
+first, then pairs of frequent words, then longer phrases of frequent pairs.  In these rounds tasks
+add up their shards' counts by hash value and send them packed; values that reach the least
+count over all shards are known to the tasks as a bit each, in a filter of bounded size.  A hash
+value shared by chance, or a bit, only lets a phrase pass; none that is frequent is
+lost.  The last round counts what passes by its text over all shards, which is exact.
 
 A phrase is part of a longer one with as many occurrences exactly if it is part of one that is a
 word longer, so only these are compared.
@@ -26,16 +27,15 @@ cut into shards at piece borders.  Columns beside text and language are not read
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.common import forget, keep, small_batches
+from clientele.llm.common import forget, keep, partitions, release, small_batches
 from clientele.llm.words import LOWER, byte_table, mix, text_buffer
 from clientele.operators.hot import spread_join
 from clientele.operators.pick import first_n_per_key
@@ -46,6 +46,9 @@ LONGEST = 5
 # A filter has at least 32 bits for each phrase in it while it is below its greatest size.
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 1 << 20, 1 << 28
 GROUP_ROWS = 4  # shards in a row group of their table
+HASH_BITS = 44
+PARTS = 16  # ranges of hash values for each shuffle partition
+HELD = 1 << 21  # hash values a task holds before it sends or adds them up
 _BREAKS = byte_table(b".,;:!?\x0a\x0b\x0c\x0d")
 _BLANKS = byte_table(b" \t")
 _U = np.uint64
@@ -229,7 +232,7 @@ def phrase_hashes(of_words: np.ndarray, phrases: np.ndarray) -> np.ndarray:
     total = np.zeros(len(phrases), np.uint64)
     for column in phrases.T:
         total = total * _FACTOR + of_words[column]
-    return mix(total)
+    return mix(total) >> _U(64 - HASH_BITS)
 
 
 # ---- extension ------------------------------------------------------------------------
@@ -278,59 +281,84 @@ def extend(
     return of[word], by[word], start[word], length[word], (other_low[of] + place)[word]
 
 
-def enumerate_shard(row: dict, filters: list[Filter]) -> pa.RecordBatch:
-    """Phrases of one word more than there are filters, with their counts in the shard.
+class Shard:
+    """One shard, read for the enumeration of its phrases."""
 
-    ``filters`` has the frequent phrases of 1, 2, ... words.  Lengths grow alternately on the left
-    and on the right.
-    """
-    langs, words = row["langs"].as_py(), row["words"].values
-    word_lang, counts = (row[c].values.to_numpy() for c in ("word_lang", "counts"))
-    hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes(words, langs, word_lang)])
-    if not filters:
-        phrases, size = np.arange(1, len(words) + 1)[:, None], counts
-    else:
-        left = Direction(row["left"].as_buffer())
-        right = Direction(row["right"].as_buffer()) if len(filters) > 1 else None
-        # Ids are numbered in order, so a word's rows follow those of all smaller ids.
-        borders = len(left.ids) - counts.sum()
-        low = borders + np.cumsum(counts) - counts
-        phrases, size, other = np.arange(1, len(words) + 1)[:, None], counts, low
-        for k, frequent in enumerate(filters, 1):
-            kept = frequent(phrase_hashes(hashes, phrases))
-            phrases, low, size, other = phrases[kept], low[kept], size[kept], other[kept]
-            if k % 2:
-                of, by, low, size, other = extend(left, low, size, other)
-                phrases = np.concatenate([by[:, None], phrases[of]], axis=1)
-                beside = phrases[:, :-1]
-            else:
-                of, by, other, size, low = extend(right, other, size, low)
-                phrases = np.concatenate([phrases[of], by[:, None]], axis=1)
-                beside = phrases[:, 1:]
-            kept = frequent(phrase_hashes(hashes, beside))
-            phrases, low, size, other = phrases[kept], low[kept], size[kept], other[kept]
-    parts = [words.take(pa.array(column - 1)) for column in phrases.T]
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(langs, pa.string()).take(pa.array(word_lang[phrases[:, 0] - 1])),
-            pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0],
-            pa.array(size, pa.int64()),
-            pa.array(phrase_hashes(hashes, phrases).view(np.int64)),
-        ],
-        names=["lang", "phrase", "n", "hash"],
-    )
+    def __init__(self, row: dict):
+        self.langs, self.words = row["langs"].as_py(), row["words"].values
+        self.word_lang, self.counts = (row[c].values.to_numpy() for c in ("word_lang", "counts"))
+        self.hashes = np.concatenate([np.zeros(1, np.uint64), word_hashes(self.words, self.langs, self.word_lang)])
+        self.transforms = [row.get("left"), row.get("right")]
 
+    def phrases(self, known: dict[int, Filter], longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """Phrases of up to ``longest`` words that can be frequent, by length, one phrase a row
+        of word ids, with their numbers.
 
-def frequent_phrases(shards: DataFrame, filters: list[Filter], least: int) -> DataFrame:
-    """Phrases of one word more than there are filters that occur ``least`` times or more."""
-    sent = shards.sparkSession.sparkContext.broadcast(filters)
+        ``known`` has the filters of frequent phrases by length.  Phrases grow on the left and on
+        the right in turn.
+        """
+        phrases, size = np.arange(1, len(self.words) + 1)[:, None], self.counts
+        # Ids are numbered in order, so a word's rows follow those of all smaller ids.
+        low = [None, None]
+        index: list[Direction | None] = [None, None]
+        for k in range(1, longest + 1):
+            if k in known:
+                keep_ = known[k](phrase_hashes(self.hashes, phrases))
+                phrases, size, low = phrases[keep_], size[keep_], [x if x is None else x[keep_] for x in low]
+            yield k, phrases, size
+            if k == longest:
+                return
+            side = (k - 1) % 2
+            if index[side] is None:
+                index[side] = Direction(self.transforms[side].as_buffer())
+                if k == 1:
+                    start = len(index[0].ids) - self.counts.sum() + np.cumsum(self.counts) - self.counts
+                    low = [start[phrases[:, 0] - 1]] * 2
+            of, by, here, size, there = extend(index[side], low[side], size, low[1 - side])
+            low = [here, there] if side == 0 else [there, here]
+            pair = (by[:, None], phrases[of])
+            phrases = np.concatenate(pair if side == 0 else pair[::-1], axis=1)
+            # The phrase without its other end must be frequent too; where frequent phrases of
+            # this length are not known yet, at least the new pair of words.
+            width = k if k in known else max((w for w in known if w <= k), default=0)
+            if width:
+                beside = phrases[:, :width] if side == 0 else phrases[:, -width:]
+                keep_ = known[width](phrase_hashes(self.hashes, beside))
+                phrases, size, low = phrases[keep_], size[keep_], [x[keep_] for x in low]
+
+    def texts(self, phrases: np.ndarray, size: np.ndarray) -> pa.RecordBatch:
+        parts = [self.words.take(pa.array(column - 1)) for column in phrases.T]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(self.langs, pa.string()).take(pa.array(self.word_lang[phrases[:, 0] - 1])),
+                pc.binary_join_element_wise(*parts, " ") if len(parts) > 1 else parts[0],
+                pa.array(size, pa.int64()),
+                pa.array(phrase_hashes(self.hashes, phrases).view(np.int64)),
+            ],
+            names=["lang", "phrase", "n", "hash"],
+        )
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[Shard]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield Shard({c: batch.column(c)[k] for c in batch.schema.names})
+
+
+_DICTIONARY = ["langs", "words", "word_lang", "counts"]
+
+
+def counted_texts(shards: DataFrame, known: dict[int, Filter], lengths: range, least: int) -> DataFrame:
+    """Phrases of some lengths that occur ``least`` times or more, by text, exactly."""
+    sent = shards.sparkSession.sparkContext.broadcast(known)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield enumerate_shard({c: batch.column(c)[k] for c in batch.schema.names}, sent.value)
+        for shard in _read(batches):
+            for k, phrases, size in shard.phrases(sent.value, lengths[-1]):
+                if k in lengths:
+                    yield shard.texts(phrases, size)
 
-    columns = shards.columns if len(filters) > 1 else [c for c in shards.columns if c != "right" and (filters or c != "left")]
+    columns = _DICTIONARY if lengths[-1] == 1 else shards.columns
     counted = shards.select(*columns).mapInArrow(count, "lang string, phrase string, n long, hash long")
     summed = counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"), F.min("hash").alias("hash"))
     found = keep(summed.filter(F.col("n") >= least), "phrases")
@@ -338,6 +366,102 @@ def frequent_phrases(shards: DataFrame, filters: list[Filter], least: int) -> Da
     return found
 
 
+# ---- counts of hash values ------------------------------------------------------------
+
+
+def _summed(values: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values in order, each once, with its counts added up."""
+    v, n = np.concatenate(values), np.concatenate(counts)
+    order = np.argsort(v, kind="stable")
+    v, n = v[order], n[order]
+    start = np.flatnonzero(np.concatenate([[True], v[1:] != v[:-1]])) if len(v) else np.zeros(0, np.int64)
+    return v[start], np.add.reduceat(n, start) if len(start) else n
+
+
+def packed(values: np.ndarray, counts: np.ndarray) -> bytes:
+    """Ordered values and their counts as differences, byte by byte, which compresses well."""
+    gaps = np.diff(values, prepend=_U(0)).astype("<u8")
+    planes = [x.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes() for x in (gaps, counts)]
+    return planes[0] + planes[1]
+
+
+def unpacked(blob) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(blob, np.uint8).reshape(2, 8, -1)
+    gaps, counts = (np.ascontiguousarray(p.T).view("<u8").ravel() for p in planes)
+    return np.cumsum(gaps, dtype=np.uint64), counts.astype(np.int64)
+
+
+def counted_hashes(shards: DataFrame, known: dict[int, Filter], lengths: range, least: int) -> DataFrame:
+    """Hash values of phrases of some lengths that occur ``least`` times or more, kept as rows
+    (length, hash).  Phrases with one hash value count together, so no frequent one is missing.
+
+    A task adds up its shards' counts and sends them in blocks of a narrow range of values; with
+    PARTS ranges for each shuffle partition a range takes a small part of what a partition may.
+    """
+    spark = shards.sparkSession
+    n = partitions(spark)
+    part_bits = (n * PARTS - 1).bit_length()
+    shift = _U(HASH_BITS - part_bits)
+    sent = spark.sparkContext.broadcast(known)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+
+        def send() -> Iterator[pa.RecordBatch]:
+            for k, pairs in held.items():
+                values, counts = _summed([v for v, _ in pairs], [c for _, c in pairs])
+                part = (values >> shift).astype(np.int64)
+                start = np.flatnonzero(np.diff(part, prepend=-1))
+                stop = np.append(start[1:], len(part))
+                blobs = [packed(values[a:b], counts[a:b]) for a, b in zip(start, stop, strict=True)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "length": pa.array(np.full(len(start), k), pa.int32()),
+                        "part": pa.array(part[start], pa.int32()),
+                        "block": pa.array(blobs, pa.binary()),
+                    }
+                )
+            held.clear()
+
+        for shard in _read(batches):
+            for k, phrases, size in shard.phrases(sent.value, lengths[-1]):
+                if k in lengths and len(phrases):
+                    held.setdefault(k, []).append((phrase_hashes(shard.hashes, phrases), size))
+            if sum(len(v) for pairs in held.values() for v, _ in pairs) > HELD:
+                yield from send()
+        yield from send()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks come in order of length and range."""
+        at, values, counts = None, [], []
+
+        def frequent() -> Iterator[pa.RecordBatch]:
+            if at is not None:
+                v, c = _summed(values, counts)
+                hit = v[c >= least].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(hit), at[0]), pa.int32()), pa.array(hit)], names=["length", "hash"])
+
+        for batch in batches:
+            keys = zip(batch.column("length").to_pylist(), batch.column("part").to_pylist(), strict=True)
+            for key, block in zip(keys, batch.column("block"), strict=True):
+                if key != at:
+                    yield from frequent()
+                    at, values, counts = key, [], []
+                v, c = unpacked(block.as_buffer())
+                values.append(v)
+                counts.append(c)
+                if sum(map(len, values)) > 2 * len(values[0]) + HELD:
+                    v, c = _summed(values, counts)
+                    values, counts = [v], [c]
+        yield from frequent()
+
+    blocks = shards.mapInArrow(count, "length int, part int, block binary")
+    dealt = blocks.repartition(n, "length", "part").sortWithinPartitions("length", "part")
+    found = keep(dealt.mapInArrow(add, "length int, hash long"), "phrase-hashes")
+    sent.unpersist()
+    return found
+
+
 # ---- scores ---------------------------------------------------------------------------
 
 
@@ -362,28 +486,31 @@ def collocations(
 ) -> DataFrame:
     """The ``best`` phrases of two to LONGEST words per language: lang, rank, phrase, a, l, r, n, score."""
     shards = index_shards(docs, text, lang, shard_words)
-    levels: list[DataFrame] = []
-    filters: list[Filter] = []
-    for _ in range(LONGEST):
-        levels.append(frequent_phrases(shards, filters, least))
-        if len(levels) < LONGEST:
-            filters.append(make_filter(levels[-1]))
+    words = counted_texts(shards, {}, range(1, 2), least)
+    known = {1: make_filter(words)}
+    made = [shards, words]
+    # Pairs first; longer phrases are few enough then to be counted together.
+    for lengths in (range(2, 3), range(3, LONGEST + 1)):
+        hashes = counted_hashes(shards, known, lengths, least)
+        made.append(hashes)
+        known |= {k: make_filter(hashes.filter(F.col("length") == k)) for k in lengths}
+        release(docs.sparkSession)
+    longer = counted_texts(shards, known, range(2, LONGEST + 1), least)
+    made.append(longer)
     per_lang = (
         shards.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("x"))
         .groupBy(F.col("x.langs").alias("lang"))
         .agg(F.sum("x.lang_words").alias("n_lang"))
     )
-    ranked = best_phrases(levels, per_lang, best)
-    result = keep(ranked, "collocations")
-    forget([shards, *levels])
+    result = keep(best_phrases(words, longer, per_lang, best), "collocations")
+    forget(made)
     return result
 
 
-def best_phrases(levels: list[DataFrame], per_lang: DataFrame, best: int) -> DataFrame:
-    """Rank the phrases of more than one word; ``levels`` has the frequent phrases by length."""
-    union = lambda parts: reduce(DataFrame.unionByName, parts)
-    listed = union(levels).select("lang", "phrase", "n")
-    longer = union([x.select("lang", "phrase", "n") for x in levels[1:]]).withColumn("words", F.split("phrase", " "))
+def best_phrases(words: DataFrame, longer: DataFrame, per_lang: DataFrame, best: int) -> DataFrame:
+    """Rank the frequent phrases of more than one word; ``words`` has the frequent words."""
+    listed = words.unionByName(longer).select("lang", "phrase", "n")
+    longer = longer.select("lang", "phrase", "n", F.split("phrase", " ").alias("words"))
     size = F.size("words")
     inside = (
         longer.filter(size > 2)
