@@ -39,11 +39,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.common import keep, small_batches
-from clientele.llm.encode import byte_characters
+from clientele.llm.encode import byte_characters, tiktoken_of
 from clientele.llm.token_files import id_type
 
 PIECE = 1 << 14  # ends of A and B in one piece
-_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Tokens(NamedTuple):
@@ -73,20 +72,13 @@ class ByteLevel:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as file:
             stored = json.load(file)
-        model, before = stored["model"], stored["pre_tokenizer"] or {}
-        if stored.get("normalizer") or before.get("type") != "ByteLevel" or before.get("add_prefix_space"):
-            raise ValueError("only byte-level tokenizers without normalizer and prefix are known here")
         byte_of = {chr(c): b for b, c in byte_characters().items()}
         special = {t["id"] for t in stored["added_tokens"]}
-        ranks = {bytes(byte_of[c] for c in t): n for t, n in model["vocab"].items() if n not in special}
-        pairs = [p.split(" ") if isinstance(p, str) else p for p in model["merges"]]
-        made = [model["vocab"][a + b] for a, b in pairs]
-        self.fast = None
-        if made == sorted(set(made)) and len(made) + 256 == len(ranks):
-            import tiktoken
-
-            self.fast = tiktoken.Encoding(path, pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
-        else:
+        if stored.get("normalizer"):
+            raise ValueError("only byte-level tokenizers without normalizer are known here")
+        ranks = {bytes(byte_of[c] for c in t): n for t, n in stored["model"]["vocab"].items() if n not in special}
+        self.fast = tiktoken_of(path, special=False)
+        if self.fast is None:
             from tokenizers import Tokenizer
 
             self.slow = Tokenizer.from_file(path)

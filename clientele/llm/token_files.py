@@ -1,9 +1,9 @@
 """Token ids in flat binary files with 64-bit document offsets.
 
-A dataset is a folder of parts in ascending id order.  A part is three flat little-endian
+A dataset is a folder of parts in ascending id order.  A part is four flat little-endian
 files: ``.bin`` holds the ids of its documents one after the other, ``.off`` the offset of
-each document in the whole dataset (in ids, and the end of the last), ``.doc`` the documents'
-ids.  Offsets count from the start of the dataset: a part's base is the sum of the ids in the
+each document in the whole dataset (in ids, and the end of the last), ``.len`` their lengths from which offsets were made, ``.doc``
+the documents' ids.  Offsets count from the start of the dataset: a part's base is the sum of the ids in the
 parts before it, a prefix sum over one number per part.  All files can be memory-mapped, and
 a reader needs no more than one part's offsets to find a document.
 
@@ -32,6 +32,7 @@ from clientele.llm.common import keep, partitions, small_batches
 from clientele.llm.encode import token_ids
 
 NO_ID = -(2**63)
+PART_DOCS = 200_000  # documents in a part, some hundreds of MB of ids
 
 
 def _open(folder: str):
@@ -112,7 +113,7 @@ def write_tokens(
             yield pd.DataFrame({"part": [part], "docs": [len(keys)], "ids": [int(np.sum(lengths))]})
 
     key = F.col(doc_id).cast("long")
-    n = partitions(spark)
+    n = max(partitions(spark), -(-docs.count() // PART_DOCS))
     # Where parts begin: quantiles of the ids alone, so that texts are read and encoded once.
     shares = [i / n for i in range(1, n)]
     quantiles = F.percentile_approx(key, F.array(*map(F.lit, [0.5, *shares])), 100 * n)
@@ -124,7 +125,7 @@ def write_tokens(
         token_ids(F.col(text), tokenizer, chunks, dtype).alias("ids"),
     )
     sizes = keep(
-        encoded.repartition("part")
+        encoded.repartition(n, "part")
         .sortWithinPartitions("part", "doc_id", F.length("ids"), "ids")
         .mapInPandas(parts, "part long, docs long, ids long"),
         "parts",
@@ -141,7 +142,8 @@ def write_tokens(
                 _write(folder, f"part-{part:06d}.off", iter([ends.tobytes()]))
             yield batch
 
-    spread = manifest.repartition("part")
+    # With a number of partitions these few rows stay dealt out, a task for some parts.
+    spread = manifest.repartition(n, "part")
     return keep(spread.mapInPandas(offsets, manifest.schema), "written")
 
 
@@ -171,7 +173,7 @@ def read_tokens(written: DataFrame, folder: str, vocabulary: int) -> DataFrame:
 
     return (
         written.select("part")
-        .repartition("part")
+        .repartition(max(partitions(written.sparkSession), written.count()), "part")
         .mapInPandas(read, "doc_id long, start long, n_tokens long, ids binary")
     )
 
