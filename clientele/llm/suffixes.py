@@ -464,20 +464,45 @@ def suffix_ranks(
 
 # ---- from the array to spans ------------------------------------------------------------
 
-# Neighbours in the array are compared in stretches of so many ranks.
+# Neighbours in the array are compared in stretches of so many ranks, of more where there would
+# be over MOST_STRETCHES.
 STRETCH = 50_000
+MOST_STRETCHES = 100_000
 SPANS = "array<struct<f:bigint,t:bigint>>"
 
 
-def shared_prefixes(suffixes: DataFrame, ranks: DataFrame) -> DataFrame:
+def shared_prefixes(suffixes: DataFrame, ranks: DataFrame, made: list[DataFrame]) -> DataFrame:
     """Places whose ``short`` prefix a neighbour in the array shares: key, start, before, short,
     far (the size of the ``long`` prefix where that is shared too, else 0)."""
-    ranked = suffixes.filter("place >= 0").join(ranks, ["string", "place"])
-    at = F.col("rank") % STRETCH
-    own = F.floor(F.col("rank") / STRETCH)
-    # The first and last rank of a stretch are shown to the next stretch as well.
-    shown = F.filter(
-        F.array(own, F.when(at == 0, own - 1), F.when(at == STRETCH - 1, own + 1)), lambda x: x.isNotNull()
+    ranked = keep(
+        suffixes.filter("place >= 0")
+        .join(ranks, ["string", "place"])
+        .select("key", "start", "before", "short", "long", "far", "has_short", (F.col("far") > 0).alias("has_long"), "rank", "string", "place"),
+        "ranked",
+    )
+    made.append(ranked)
+    # Ranks of suffixes that agree for the reach may repeat and leave holes, so what stands next
+    # to a stretch is read off the rows: each is shown the last row before it and the first
+    # one behind it.  Rows of one rank are in one stretch.
+    width = max(STRETCH, -(-(ranked.agg(F.max("rank")).first()[0] or 0) // MOST_STRETCHES))
+    placed = ranked.withColumn("_stretch", F.floor(F.col("rank") / width))
+    row, place = F.struct("short", "long", "has_short", "has_long"), F.struct("rank", "string", "place")
+    in_turn = Window.orderBy("_stretch")
+    borders = (
+        placed.groupBy("_stretch")
+        .agg(F.min_by(row, place).alias("first"), F.max_by(row, place).alias("last"))
+        .select("_stretch", F.lag("last").over(in_turn).alias("before"), F.lead("first").over(in_turn).alias("behind"))
+        .select(
+            "_stretch",
+            F.explode(
+                F.array(
+                    F.struct(F.lit(-1).cast("long").alias("rank"), F.col("before").alias("row")),
+                    F.struct(F.lit((1 << 63) - 1).alias("rank"), F.col("behind").alias("row")),
+                )
+            ).alias("x"),
+        )
+        .filter("x.row IS NOT NULL")
+        .select("_stretch", "x.rank", "x.row.*", F.lit(True).alias("_border"))
     )
     along = Window.partitionBy("_stretch").orderBy("rank")
     same = lambda c, has: sum(
@@ -485,9 +510,11 @@ def shared_prefixes(suffixes: DataFrame, ranks: DataFrame) -> DataFrame:
         F.lit(0),
     )
     compared = (
-        ranked.withColumns({"_own": own, "_stretch": F.explode(shown), "has_long": F.col("far") > 0})
+        placed.drop("string", "place")
+        .withColumn("_border", F.lit(False))
+        .unionByName(borders, allowMissingColumns=True)
         .withColumns({"_short": same("short", "has_short"), "_long": same("long", "has_long")})
-        .filter("_own = _stretch AND has_short AND _short > 0")
+        .filter("NOT _border AND has_short AND _short > 0")
     )
     certain = F.col("has_long") & (F.col("_long") > 0)
     periodic = suffixes.filter("place < 0").select("key", "start", "before", "short", "far")
@@ -547,7 +574,7 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     # Equal prefixes of the reach must stand side by side; what agrees further may be in any order.
     strings = suffixes.filter("place >= 0").select("string", "place", "symbol", "size", "terminator")
     made = [suffixes]
-    shared = shared_prefixes(suffixes, suffix_ranks(strings, reach_of(length), made=made))
+    shared = shared_prefixes(suffixes, suffix_ranks(strings, reach_of(length), made=made), made)
     places = keep(_open_places(shared, sizes.select("key", "n_bytes"), length), "places")
     forget(made)
     release(docs.sparkSession)

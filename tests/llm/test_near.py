@@ -118,6 +118,22 @@ def test_repeats_on_edges(spark, edge, none, monkeypatch, length, base):
         assert short[302].text == "y" * length and short[300].text == "" and short[12].text is None
 
 
+@pytest.mark.parametrize("stretch", [2, 3, 7])
+def test_no_repeat_is_lost_at_the_border_of_a_stretch(spark, monkeypatch, stretch):
+    """Suffixes that agree for long have ranks with holes and repeats."""
+    monkeypatch.setattr(suffixes, "BASE", 0)
+    monkeypatch.setattr(suffixes, "STRETCH", stretch)
+    r = random.Random(11)
+    passages = [prose(40 + k, 40) for k in range(5)]
+    docs = []
+    for k in range(120):
+        p = r.choice(passages)
+        a = r.randint(0, 120)
+        docs.append((k, prose(500 + k, r.randint(0, 12)) + p[a : a + r.randint(58, 200)] + prose(900 + k, r.randint(0, 12))))
+    found = suffixes.digests(spark.createDataFrame(docs, "doc_id long, text string"), 60).collect()
+    assert sorted(map(tuple, found), key=str) == repeats(docs, 60)
+
+
 @pytest.mark.parametrize("base", [0, suffixes.BASE])
 def test_suffix_ranks_are_lexicographic(spark, monkeypatch, base):
     monkeypatch.setattr(suffixes, "BASE", base)
