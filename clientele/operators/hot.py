@@ -2,9 +2,12 @@
 
 A fact table joined to a table with one row per key puts every fact of a key into one
 shuffle partition.  ``spread_join`` finds the keys that are larger than a partition
-should be, cuts each of them into as many pieces as it has partitions' worth of rows,
+should be, cuts each of them into pieces much smaller than a partition,
 and repeats the single matching row once per piece.  All other keys join as usual, so
 the result is that of the plain join.
+
+Only a join that shuffles can have a hot partition.  Where the planner's own size of the matching
+side is under its broadcast threshold, the facts stay where they are, and no sketch is made.
 """
 
 from __future__ import annotations
@@ -19,11 +22,13 @@ SLOTS = 10
 LEAST_SLOTS = 10_000
 MOST_SLOTS = 1_000_000
 MERGERS = 256
+FINE = 16
 
 HOW = ("left", "inner", "left_semi", "left_anti")
 _ITEM = "_key_hash"
 _PIECES = "_pieces"
 _PIECE = "_piece"
+_TURN = "_turn"
 
 
 def _partitions(df: DataFrame) -> int:
@@ -58,18 +63,36 @@ def hot_keys(df: DataFrame, keys: list[str], parts: int | None = None) -> DataFr
         sketch.select(F.explode("top").alias("hit"), "total")
         .select(
             F.col("hit.item").alias(_ITEM),
-            F.ceil(F.lit(parts) * F.col("hit.count") / F.col("total")).cast("int").alias(_PIECES),
+            _cut(F.lit(parts) * F.col("hit.count") / F.col("total")).alias(_PIECES),
         )
-        .filter(F.col(_PIECES) > 2)
+        .filter(F.col(_PIECES).isNotNull())
     )
 
 
+def _cut(worth: Column) -> Column:
+    """The number of pieces of a key with ``worth`` partitions' rows; NULL for up to two.
+
+    Pieces fall on partitions by hash: with FINE of them for each partition's worth, no
+    partition is far above the mean by chance.
+    """
+    return F.when(worth > 2, F.ceil(worth * FINE).cast("int"))
+
+
+def is_broadcast(side: DataFrame) -> bool:
+    """Whether the planner will send this side of a join to every task instead of shuffling both.
+
+    The same estimate and threshold decide in the planner; asking for them starts no job.
+    """
+    most = side.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(side._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= most
+
+
 def row_hash(df: DataFrame) -> Column:
     """A hash of a row's content.
 
     Pieces come from it and not from a row's place: a task that runs again behind a shuffle
     reads its rows in another order, and must still deal each of them to the same piece.
-    Equal rows share a piece.
+    Equal rows share a piece; see ``repeats`` of ``spread_join`` for tables that have many.
     """
     plain = [f.name for f in df.schema if not f.dataType.simpleString().count("map<")]
     return F.xxhash64(*(F.col(f"`{c}`") for c in plain))
@@ -81,31 +104,40 @@ def spread_join(
     keys: str | list[str],
     how: str = "left",
     hot: DataFrame | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """Equi-join ``facts`` to ``single`` (one row per key, or a few) without a hot partition.
 
     ``how`` is one of HOW.  ``hot`` may pass a list made by ``hot_keys``: when several joins
     use one key, or when ``facts`` is costly to compute and its source tells as much.
+
+    With ``repeats``, for tables with few columns, a hot key's rows may be equal.  Each task then
+    puts the rows of hot keys in the order of their content and deals them out in turn.  Which of
+    several equal rows comes first does not matter, so a task that runs again deals the same rows
+    to the same pieces, whatever order it reads them in.
     """
     if how not in HOW:
         raise ValueError(f"spread_join does {HOW}, not {how!r}")
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if is_broadcast(single):
+        return facts.join(single, keys, how)
     some_null = F.greatest(*(F.col(k).isNull().cast("int") for k in keys), F.lit(0)) == 1
     # A NULL key matches nothing; it must not make all such facts one group either.
     plain = facts.dropna(subset=keys) if how in ("inner", "left_semi") else facts
     hot = F.broadcast(hot_keys(plain, keys) if hot is None else hot)
-    row_no = row_hash(plain)
-    left = (
-        plain.withColumn(_ITEM, F.xxhash64(*keys))
-        .join(hot, _ITEM, "left")
-        .withColumn(
-            _PIECE,
-            F.when(some_null, -1 - F.pmod(row_no, F.lit(_partitions(facts))))
-            .otherwise(F.coalesce(F.pmod(row_no, F.col(_PIECES).cast("long")), F.lit(0)))
-            .cast("int"),
+    content = row_hash(plain)
+    marked = plain.withColumn(_ITEM, F.xxhash64(*keys)).join(hot, _ITEM, "left")
+    if repeats:
+        marked = marked.sortWithinPartitions(F.when(some_null | F.col(_PIECES).isNotNull(), content)).withColumn(
+            _TURN, F.monotonically_increasing_id()
         )
-        .drop(_ITEM, _PIECES)
-    )
+    turn = F.col(_TURN) if repeats else content
+    left = marked.withColumn(
+        _PIECE,
+        F.when(some_null, -1 - F.pmod(turn, F.lit(_partitions(facts))))
+        .otherwise(F.coalesce(F.pmod(turn, F.col(_PIECES).cast("long")), F.lit(0)))
+        .cast("int"),
+    ).drop(_ITEM, _PIECES, _TURN)
     right = (
         single.withColumn(_ITEM, F.xxhash64(*keys))
         .join(hot, _ITEM, "left")
@@ -127,7 +159,9 @@ def attach_totals(df: DataFrame, keys: str | list[str], **totals: Column) -> Dat
     sums = df.groupBy(*keys).agg(
         F.count("*").alias("_rows"), *(agg.alias(name) for name, agg in totals.items())
     )
+    if is_broadcast(sums):
+        return df.join(sums.drop("_rows"), keys, "left")
     total = sums.agg(F.sum("_rows")).scalar()
-    pieces = F.ceil(F.lit(_partitions(df)) * F.col("_rows") / total).cast("int")
-    hot = sums.select(F.xxhash64(*keys).alias(_ITEM), pieces.alias(_PIECES)).filter(f"{_PIECES} > 2")
-    return spread_join(df, sums.drop("_rows"), keys, "left", hot=hot)
+    pieces = _cut(F.lit(_partitions(df)) * F.col("_rows") / total)
+    hot = sums.select(F.xxhash64(*keys).alias(_ITEM), pieces.alias(_PIECES)).filter(F.col(_PIECES).isNotNull())
+    return spread_join(df, sums.drop("_rows"), keys, "left", hot=hot, repeats=True)

@@ -23,10 +23,69 @@ def skewed(spark):
 
 @pytest.fixture
 def many_parts(spark):
+    """Many shuffle partitions, and no side so small that nothing is shuffled."""
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "32")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", before)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_small_sides_are_sent_and_nothing_is_sketched(spark, skewed, rows):
+    dim = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    for how in hot.HOW:
+        joined = hot.spread_join(skewed, dim, "k", how)
+        plan = joined._jdf.queryExecution().toString()
+        assert "BroadcastHashJoin" in plan and "approx_top_k" not in plan
+        assert rows(joined) == rows(skewed.join(dim, "k", how))
+    assert hot.is_broadcast(dim) and not hot.is_broadcast(spark.range(10**9))
+
+
+@pytest.fixture
+def equal_rows(spark):
+    """A million narrow rows: half of them are one row of one key, the others differ."""
+    return spark.range(0, 1_000_000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 5000 + 10).alias("k"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).alias("v"),
+    )
+
+
+def _sizes(df):
+    """Rows of each partition of a plan as it stands."""
+    return [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+
+
+def test_equal_rows_of_a_hot_key_are_spread(spark, equal_rows, many_parts):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = hot.attach_totals(equal_rows, "k", n=F.count("*"), s=F.sum("v"))
+        sizes = _sizes(out)
+        assert sum(sizes) == 1_000_000 and max(sizes) <= 2 * 1_000_000 / 32
+        assert out.filter("k = 7").agg(F.count("*"), F.min("n"), F.max("s")).first()[:] == (500_000, 500_000, 500_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_equal_rows_go_to_the_same_pieces_in_any_order(spark, many_parts):
+    """What a task deals out depends on its rows and not on the order it reads them in."""
+    data = [(7, k % 3) for k in range(900)] + [(k, k) for k in range(100)]
+    dim = spark.range(0, 100).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+
+    def dealt(rows_):
+        one = spark.createDataFrame(rows_, "k long, v long").coalesce(1)
+        joined = hot.spread_join(one, dim, "k", repeats=True)
+        return sorted(map(tuple, joined.groupBy(F.spark_partition_id(), "k", "v").count().collect()))
+
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        first = dealt(data)
+        shuffled = data[:]
+        random.Random(1).shuffle(shuffled)
+        assert dealt(shuffled) == first == dealt(data[::-1])
+        assert len({p for p, k, *_ in first if k == 7}) > 8
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 @pytest.mark.parametrize("how", hot.HOW)
@@ -58,7 +117,6 @@ def test_hot_keys_of_nothing(spark, skewed, many_parts):
 
 
 def test_hot_key_is_spread_over_partitions(spark, skewed, many_parts):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         dim = spark.range(0, 60).select(F.col("id").alias("k"), F.lit(1).alias("w"))
@@ -66,7 +124,6 @@ def test_hot_key_is_spread_over_partitions(spark, skewed, many_parts):
         used = joined.filter("k = 7").groupBy(F.spark_partition_id()).count().count()
         assert used > 3
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
