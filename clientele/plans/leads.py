@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Iterable
 from datetime import date
 
@@ -241,11 +242,12 @@ def split_new_old(leads: DataFrame, week_start: date) -> DataFrame:
 
     A lead that is neither (no date and no such class) drops out.
     """
+    return leads.withColumn("type", _kind(week_start)).filter(F.col("type").isNotNull())
+
+
+def _kind(week_start: date) -> Column:
     always = F.coalesce(same_text("segment", "purchase", "DOB"), F.lit(False))
-    kind = F.when(always | (F.col("sent") >= F.lit(week_start)), "New").when(
-        F.col("sent") < F.lit(week_start), "Old"
-    )
-    return leads.withColumn("type", kind).filter(F.col("type").isNotNull())
+    return F.when(always | (F.col("sent") >= F.lit(week_start)), "New").when(F.col("sent") < F.lit(week_start), "Old")
 
 
 def best_lead_per_contact(leads: DataFrame) -> DataFrame:
@@ -299,9 +301,70 @@ def route_list(routed: DataFrame, route: str) -> DataFrame:
     return routed.filter(F.col("route") == route).select(*ROUTE_COLUMNS)
 
 
-def text_message_list(
+# ---- all lists from one frame ----------------------------------------------------------
+
+
+def all_responders(responses: DataFrame) -> DataFrame:
+    """Responders of every class with their dial area, for ``contact_lists``."""
+    return responses.withColumn("time_city", dial_area("phone", "country", "city"))
+
+
+def contact_lists(
     leads: DataFrame,
-    responses: DataFrame,
+    week_start: date,
+    ranks: dict[str, int] = LEAD_RANK,
+    text_ranks: dict[str, int] = TEXT_MESSAGE_RANK,
+) -> DataFrame:
+    """Each contact's best candidate for every list, one row per contact.
+
+    ``leads`` holds the candidates of all lists in one frame: responders of every class, buyers
+    and birthdays as ``unify_leads`` has them.  ``new`` and ``old`` are the leads to call, chosen
+    as ``best_lead_per_contact`` does; ``text`` the best answer to text back (seg4), ``mail`` the
+    best of those only mailed (seg1, seg2, seg4).  One aggregate, combined before it is shuffled,
+    makes the choice for all of them, so the inputs are read once whatever lists are made.
+    """
+    ranked = add_lead_rank(leads, ranks).withColumns(
+        {"type": _kind(week_start), "_text": mapped("segment", text_ranks), "_mail": mapped("actions", RESPONSE_RANK)}
+    )
+    last = lambda c: (F.col(c).isNull(), F.col(c))
+    order = F.struct(
+        -F.col("rank"), F.col("sent").isNull(), -F.unix_date("sent"), *last("what_done"), *last("clicked"), *last("opened")
+    )
+    lead = F.struct(order.alias("order"), F.struct(*leads.columns, "rank", "type").alias("lead"))
+    to_call = F.col("actions").isin("seg3", "seg5") & F.col("rank").isNotNull()
+    best = lambda wanted, row: F.min(F.when(wanted, row))
+    texted = (F.col("actions") == "seg4") & F.col("_text").isNotNull()
+    return ranked.groupBy("contact_id").agg(
+        best(to_call & (F.col("type") == "New"), lead)["lead"].alias("new"),
+        best(to_call & (F.col("type") == "Old"), lead)["lead"].alias("old"),
+        best(texted, F.struct((-F.col("_text")).alias("order"), "segment", "phone")).alias("text"),
+        best(
+            F.col("actions").isin("seg1", "seg2", "seg4"), F.struct((-F.col("_mail")).alias("order"), "segment", "actions")
+        ).alias("mail"),
+    )
+
+
+def leads_to_call(lists: DataFrame) -> DataFrame:
+    """The New and the Old lead of each contact as rows, from ``contact_lists``."""
+    return lists.select(F.explode(F.array_compact(F.array("new", "old"))).alias("lead")).select("lead.*")
+
+
+def _without_quiet(lists: DataFrame, no_call: DataFrame) -> DataFrame:
+    """The lists with the leads to call emptied for contacts on the no-call list with a reason."""
+    quiet = no_call.filter(F.col("reason").isNotNull()).select(F.col("id").alias("contact_id")).distinct()
+    marked = lists.join(quiet.withColumn("_quiet", F.lit(True)), "contact_id", "left")
+    return marked.withColumns({c: F.when(F.col("_quiet").isNull(), F.col(c)) for c in ("new", "old")}).drop("_quiet")
+
+
+def _first_of(best: Column, others: list[Column]) -> Column:
+    """The smallest of some structs with an order; those that are NULL or have none are out."""
+    there = F.filter(F.array(best, *others), lambda x: x["order"].isNotNull())
+    return F.array_min(there)
+
+
+def text_message_list(
+    lists: DataFrame,
+    no_call: DataFrame,
     opportunities: DataFrame,
     contacts: DataFrame,
     due_from: date,
@@ -309,43 +372,58 @@ def text_message_list(
 ) -> DataFrame:
     """Domestic contacts to text, best class each, unless all their deals are due later.
 
-    A contact stays when it has no opportunity or one that is due before ``due_from``.
+    A contact stays when it has no opportunity or one that is due before ``due_from``.  ``lists``
+    comes from ``contact_lists``.
     """
-    cols = ("contact_id", "segment", "phone")
-    pool = union_all(
-        leads.filter(F.col("actions") == "seg5").select(*cols),
-        responses.filter(F.col("actions") == "seg4").select(*cols),
-    )
     later = F.coalesce(F.col("next_action_date") >= F.lit(due_from), F.lit(False))
     busy = (
         opportunities.groupBy("contact_id").agg(F.bool_and(later).alias("_later")).filter("_later")
     )
-    ranked = add_lead_rank(pool, ranks).filter(F.col("rank").isNotNull())
-    best = top_per_key(ranked, "contact_id", [F.desc("rank"), "segment", "phone"])
-    kept = exclude(best, busy, "contact_id")
-    return kept.join(contacts.select("contact_id", "first_name"), "contact_id", "left")
+
+    def called(c: str) -> Column:
+        row = F.struct((-mapped(F.col(c)["segment"], ranks)).alias("order"), F.col(c)["segment"].alias("segment"), F.col(c)["phone"].alias("phone"))
+        return F.when(F.col(c)["actions"] == "seg5", row)
+
+    best = _without_quiet(lists, no_call).select(
+        "contact_id", _first_of(F.col("text"), [called("new"), called("old")]).alias("best")
+    )
+    kept = exclude(best.filter(F.col("best").isNotNull()), busy, "contact_id").select(
+        "contact_id", "best.segment", "best.phone", (-F.col("best.order")).alias("rank")
+    )
+    return join_side_table(kept, contacts.select("contact_id", "first_name"), "contact_id")
 
 
 def mail_blast_list(
-    responses: DataFrame, leads: DataFrame, seed: int | None = None, random: bool = False
+    lists: DataFrame, no_call: DataFrame, seed: int | None = None, random: bool = False
 ) -> DataFrame:
     """Everyone to invite, best class each, with a five-digit number per contact.
 
-    The number is drawn at random, or derived from the contact id and ``seed`` so that a
-    rerun gives the same one.
+    The number is derived from the contact id and ``seed``.  With ``random`` it is drawn: by a
+    hash of the contact id and ``seed``, or of a number drawn for this list where no seed is given.
+    Either way a task that runs again gives the same one.  ``lists`` comes from ``contact_lists``.
     """
-    cols = ("contact_id", "segment", "actions")
-    pool = union_all(
-        responses.filter(F.col("actions").isin("seg1", "seg2", "seg4")).select(*cols),
-        leads.filter(F.col("actions").isin("seg3", "seg5")).select(*cols),
+
+    def called(c: str) -> Column:
+        lead = F.col(c)
+        return F.struct((-mapped(lead["actions"], RESPONSE_RANK)).alias("order"), lead["segment"].alias("segment"), lead["actions"].alias("actions"))
+
+    best = (
+        _without_quiet(lists, no_call)
+        .select("contact_id", _first_of(F.col("mail"), [called("new"), called("old")]).alias("best"))
+        .filter(F.col("best").isNotNull())
+        .select("contact_id", "best.segment", "best.actions", (-F.col("best.order")).alias("rank"))
     )
-    ranked = add_lead_rank(pool, RESPONSE_RANK, by="actions")
-    best = top_per_key(ranked, "contact_id", [F.desc("rank"), "segment"])
-    if random:
-        number = F.floor(F.lit(10000) + F.rand(seed) * SPREAD)
-    else:
-        number = (F.pmod("contact_id", F.lit(SPREAD)) * 48271 + (seed or 0)) % SPREAD + 10000
-    return best.withColumn("num", number.cast("long"))
+    return best.withColumn("num", drawn_number("contact_id", seed) if random else stepped_number("contact_id", seed or 0))
+
+
+def drawn_number(key: str, seed: int | None = None) -> Column:
+    """A five-digit number drawn for each key: the same for a key whatever task computes it."""
+    drawn = secrets.randbits(63) if seed is None else seed
+    return F.pmod(F.xxhash64(F.lit(drawn).cast("long"), key), F.lit(SPREAD)) + 10000
+
+
+def stepped_number(key: str, seed: int) -> Column:
+    return ((F.pmod(key, F.lit(SPREAD)) * 48271 + seed) % SPREAD + 10000).cast("long")
 
 
 def with_phone(df: DataFrame) -> DataFrame:

@@ -80,19 +80,47 @@ def test_route_list_columns(spark):
     assert auto.first().link == BASE + "1"
 
 
+NO_ONE = "id long, reason string"
+
+
+def lists_of(spark, rows):
+    """Lists from (contact_id, segment, actions, sent) rows."""
+    cols = "contact_id long, segment string, actions string, sent date, what_done string, phone string, clicked date, opened date"
+    return leads.contact_lists(spark.createDataFrame([(*r, None, "p", None, None) for r in rows], cols), D(2015, 7, 20))
+
+
 def test_text_list_drops_contacts_whose_deals_are_all_later(spark):
-    pool = spark.createDataFrame(
-        [(n, "fpc", "p", "seg4") for n in (1, 2, 3, 4)], "contact_id long, segment string, phone string, actions string"
-    )
+    lists = lists_of(spark, [(n, "fpc", "seg4", None) for n in (1, 2, 3, 4)])
     opps = spark.createDataFrame(
         [(1, D(2015, 8, 9)), (2, D(2015, 8, 9)), (2, D(2015, 7, 1)), (3, D(2015, 8, 9)), (3, None)],
         "contact_id long, next_action_date date",
     )
     who = spark.createDataFrame([(n, f"N{n}") for n in (1, 2, 3, 4)], "contact_id long, first_name string")
-    got = leads.text_message_list(pool.filter("false"), pool, opps, who, D(2015, 8, 2))
+    got = leads.text_message_list(lists, spark.createDataFrame([], NO_ONE), opps, who, D(2015, 8, 2))
     assert sorted((r.contact_id, r.first_name) for r in got.collect()) == [(2, "N2"), (3, "N3"), (4, "N4")]
 
 
+def test_lists_choose_from_one_frame(spark):
+    rows = [
+        (1, "lsi", "seg4", D(2015, 7, 21)), (1, "fpc", "seg5", D(2015, 7, 1)), (1, "wsm", "seg5", D(2015, 7, 22)),
+        (2, "curric", "seg4", None), (2, "purchase", "seg5", None),
+        (3, "fpc", "seg1", D(2015, 7, 21)), (4, "mystery", "seg4", D(2015, 7, 1)), (5, "dob", "seg5", None),
+        (6, "fpc", "seg3", D(2015, 7, 22)), (7, "fpc", "seg5", None),
+    ]
+    lists = lists_of(spark, rows)
+    no_call = spark.createDataFrame([(2, "asked"), (1, None)], NO_ONE)
+    none = spark.createDataFrame([], "contact_id long, next_action_date date")
+    who = spark.createDataFrame([], "contact_id long, first_name string")
+    called = {(r.type, r.contact_id, r.segment) for r in leads.leads_to_call(lists).collect()}
+    assert called == {("New", 1, "wsm"), ("Old", 1, "fpc"), ("New", 2, "purchase"), ("New", 5, "dob"), ("New", 6, "fpc")}
+    texts = leads.text_message_list(lists, no_call, none, who, D(2015, 8, 2)).collect()
+    assert {(r.contact_id, r.segment, r["rank"]) for r in texts} == {(1, "fpc", 5), (2, "curric", 1)}
+    mails = leads.mail_blast_list(lists, no_call, seed=1).collect()
+    assert {(r.contact_id, r.segment, r.actions) for r in mails} == {
+        (1, "fpc", "seg5"), (2, "curric", "seg4"), (3, "fpc", "seg1"), (4, "mystery", "seg4"), (5, "dob", "seg5"), (6, "fpc", "seg3"),
+    }
+
+
 def test_exclusive_contacts(spark):
     df = spark.createDataFrame(
         [(1, "inner"), (1, "Inner"), (2, "inner"), (2, "fpc"), (3, "fpc")], "contact_id long, segment string"
@@ -102,16 +130,25 @@ def test_exclusive_contacts(spark):
 
 
 def test_blast_number_is_repeatable_and_in_range(spark):
-    df = spark.range(0, 500).select(
-        F.col("id").alias("contact_id"), F.lit("fpc").alias("segment"), F.lit("seg1").alias("actions")
-    )
-    runs = [
-        {r.contact_id: r.num for r in leads.mail_blast_list(df, df.filter("false"), seed=5).collect()}
-        for _ in range(2)
-    ]
+    lists = lists_of(spark, [(n, "fpc", "seg1", None) for n in range(500)])
+    no_call = spark.createDataFrame([], NO_ONE)
+    runs = [{r.contact_id: r.num for r in leads.mail_blast_list(lists, no_call, seed=5).collect()} for _ in range(2)]
     assert runs[0] == runs[1] and all(10000 <= n <= 99999 for n in runs[0].values())
 
 
+def test_drawn_numbers_do_not_depend_on_partitions(spark):
+    lists = lists_of(spark, [(n, "fpc", "seg1", None) for n in range(500)])
+    no_call = spark.createDataFrame([], NO_ONE)
+    draw = lambda x, seed: {r.contact_id: r.num for r in leads.mail_blast_list(x, no_call, seed, random=True).collect()}
+    first = draw(lists, 9)
+    assert draw(lists.repartition(7, "contact_id"), 9) == first == draw(lists.coalesce(1), 9)
+    assert draw(lists, 10) != first and all(10_000 <= n <= 99_998 for n in first.values())
+    # Without a seed each list has numbers of its own, and keeps them.
+    fresh = leads.mail_blast_list(lists, no_call, random=True)
+    once = {r.contact_id: r.num for r in fresh.collect()}
+    assert {r.contact_id: r.num for r in fresh.repartition(5).collect()} == once != draw(lists, None)
+
+
 def test_birthday_list_spans_new_year(spark):
     who = spark.createDataFrame(
         [(1, "A", "B", "(415) 1", "Canada", D(1980, 12, 30)), (2, "A", "B", "1", "x", D(1980, 1, 2)),

@@ -365,9 +365,14 @@ def _typed(i):
 
 
 def _best(i):
-    typed = leads.split_new_old(leads.add_lead_rank(_bare(i)), WEEK_START)
-    best = leads.best_lead_per_contact(typed)
-    return leads.attach_opportunity(best, i.opportunities, BASE)
+    return leads.attach_opportunity(leads.leads_to_call(_lists(i)), i.opportunities, BASE)
+
+
+def _lists(i):
+    """Every contact's candidates of all lists."""
+    birthdays = contacts.birthday_list(i.contacts, None, (7, 6), (7, 26))
+    everyone = leads.unify_leads(leads.all_responders(_responses(i)), leads.purchase_leads(i.purchases), birthdays)
+    return leads.contact_lists(everyone, WEEK_START)
 
 
 def _callable(i):
@@ -394,6 +399,13 @@ def q_best_lead(i):
     return _best(i)
 
 
+@query(_BEST)
+def q_best_lead_rows(i):
+    """The same choice among rows, for leads that are not kept as one frame."""
+    typed = leads.split_new_old(leads.add_lead_rank(_bare(i)), WEEK_START)
+    return leads.attach_opportunity(leads.best_lead_per_contact(typed), i.opportunities, BASE)
+
+
 @query(_ZONED)
 def q_time_zone(i):
     return leads.attach_time_zone(_best(i), i.time_zones)
@@ -448,9 +460,7 @@ SELECT k.contact_id, k.segment, k.phone, k.rank, c.first_name FROM (
       WHEN 'lsi' THEN 2 WHEN 'curric' THEN 1 END AS BIGINT) AS rank FROM kept) AS x WHERE rank IS NOT NULL) AS k
 LEFT JOIN {{contacts}} AS c ON c.contact_id = k.contact_id WHERE rn = 1""")
 def q_sms_list(i):
-    return leads.text_message_list(
-        _callable(i), _responses(i), i.opportunities, i.contacts, DUE_FROM
-    )
+    return leads.text_message_list(_lists(i), i.no_call, i.opportunities, i.contacts, DUE_FROM)
 
 
 @query(f"""
@@ -462,7 +472,7 @@ SELECT contact_id, segment, actions, rank, contact_id % 89999 * 48271 % 89999 +
     row_number() OVER (PARTITION BY contact_id ORDER BY right(actions, 1) DESC, segment) AS rn FROM pool) AS x
 WHERE rn = 1""")
 def q_blast_list(i):
-    return leads.mail_blast_list(_responses(i), _callable(i), seed=0)
+    return leads.mail_blast_list(_lists(i), i.no_call, seed=0)
 
 
 @query(f"""
@@ -475,5 +485,5 @@ SELECT contact_id, segment, actions, rank, TRUE AS in_range FROM (
 WHERE rn = 1""")
 def q_blast_list_random(i):
     # The number differs from run to run; its range does not.
-    drawn = leads.mail_blast_list(_responses(i), _callable(i), seed=7, random=True)
+    drawn = leads.mail_blast_list(_lists(i), i.no_call, seed=7, random=True)
     return drawn.withColumn("in_range", F.col("num").between(10_000, 99_998)).drop("num")
