@@ -25,6 +25,7 @@ from clientele.functions.text import (
     record_link,
     same_text,
 )
+from clientele.operators.bitmaps import id_sets, set_sizes
 from clientele.operators.hot import hot_keys, spread_join
 from clientele.operators.joins import exclude, join_side_table, lookup, suppress
 from clientele.operators.pick import top_per_key
@@ -138,6 +139,26 @@ def responders_by_week(responses: DataFrame, week: str = "week") -> DataFrame:
     )
 
 
+def responder_sets(responses: DataFrame, day: str = "sent") -> DataFrame:
+    """Who responded, as sets of contacts per day, template and segment class.
+
+    Kept with a day's snapshot they answer later questions without the responses: see
+    ``segment_counts_of`` and ``responders_of``.
+    """
+    return id_sets(responses, [day, "segment", "actions"], "contact_id")
+
+
+def segment_counts_of(sets: DataFrame) -> DataFrame:
+    """``segment_counts`` of all days whose sets are given."""
+    return set_sizes(sets, "actions", "contacts", "ct")
+
+
+def responders_of(sets: DataFrame, window: str) -> DataFrame:
+    """Different contacts per window, template and segment class; ``window`` is a column of the
+    sets such as a week, a month or a number of days."""
+    return set_sizes(sets, [window, "segment", "actions"], "contacts")
+
+
 def segment_exclusive_contacts(responses: DataFrame, segment: str) -> DataFrame:
     """Contacts that responded to one segment and to no other."""
     return (

@@ -48,29 +48,38 @@ def joined_text_per_key(
     ``part`` numbers a key's pages from 0: its pages in order, with the separator between them,
     are the whole text.  NULL is a key like any other.
 
-    Rows are sorted once by key and text over all machines and written to ``folder``, so that
-    every later step sees the same slices.  A text's place in its key is its place in the slice
-    plus the sizes of the key's slices before; no task holds a key.
+    Equal texts of a key are counted first, which combines them before they are shuffled: a run of
+    one text is one row however often it comes.  Runs are sorted by key and text over all
+    machines and written to ``folder``, so that every later step sees the same slices.  A run's
+    place in its key is that in its slice plus the sizes of the key's slices before.  A run is cut
+    where pages end, and each page repeats its part of it; no task holds a key.
     """
     spark = df.sparkSession
     rows = df.filter(F.col(text).isNotNull()).select(F.col(key).alias("_k"), F.ltrim(text).alias("_t"))
-    sliced = rows.repartitionByRange("_k", "_t").withColumn("_slice", F.spark_partition_id())
+    runs = rows.groupBy("_k", "_t").agg(F.count("*").alias("_n"))
+    sliced = runs.repartitionByRange("_k", "_t").withColumn("_slice", F.spark_partition_id())
     kept = save(sliced, folder or new_table_path(spark, "sorted-texts"))
     earlier = Window.partitionBy("_k").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         kept.groupBy("_k", "_slice")
-        .agg(F.count("*").alias("_n"))
-        .select(F.col("_k").alias("_bk"), F.col("_slice").alias("_bs"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
+        .agg(F.sum("_n").alias("_all"))
+        .select(F.col("_k").alias("_bk"), F.col("_slice").alias("_bs"), F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_base"))
     )
-    in_slice = Window.partitionBy("_k", "_slice").orderBy("_t")
-    placed = kept.withColumn("_row", F.row_number().over(in_slice)).join(
+    in_slice = Window.partitionBy("_k", "_slice").orderBy("_t").rowsBetween(Window.unboundedPreceding, -1)
+    placed = kept.withColumn("_before", F.coalesce(F.sum("_n").over(in_slice), F.lit(0))).join(
         bases, F.col("_k").eqNullSafe(F.col("_bk")) & (F.col("_slice") == F.col("_bs"))
     )
-    at = F.col("_base") + F.col("_row") - 1
-    page = F.floor(at / part_rows).cast("long")
-    texts = F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), "_t"))), lambda x: x["_t"])
+    start = F.col("_base") + F.col("_before")
+    page_of = lambda at: F.floor(at / part_rows).cast("long")
+    paged = placed.select("_k", "_t", start.alias("_from"), (start + F.col("_n")).alias("_to")).withColumn(
+        "part", F.explode(F.sequence(page_of(F.col("_from")), page_of(F.col("_to") - 1)))
+    )
+    low = F.greatest(F.col("_from"), F.col("part") * part_rows)
+    high = F.least(F.col("_to"), (F.col("part") + 1) * part_rows)
+    in_page = F.array_sort(F.collect_list(F.struct(low.alias("at"), "_t", (high - low).cast("int").alias("n"))))
+    texts = F.flatten(F.transform(in_page, lambda x: F.array_repeat(x["_t"], x["n"])))
     return (
-        placed.groupBy("_k", page.alias("part"))
+        paged.groupBy("_k", "part")
         .agg(F.array_join(texts, sep).alias(out))
         .select(F.col("_k").alias(key), "part", out)
     )

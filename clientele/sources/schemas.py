@@ -87,3 +87,26 @@ EVENT_LIST = layout(
     "total_amount", "description", "designation",
 )
 MEMBERS = layout("email", "member_id:long")
+
+LAYOUTS = {name.lower(): value for name, value in list(globals().items()) if isinstance(value, StructType)}
+
+# Names that versions of the exports use for the layouts' columns.
+ALIASES = {
+    "contacts": {"data_created": "date_created", "date_of_birth": "dob", "contact_id": "id"},
+    "invoices": {"inv_id": "order_id", "product_id": "product_ids"},
+    "products": {"product_id": "id"},
+    "mail_activity": {"id": "contact_id", "link_clicked": "link"},
+    "opportunities": {"perecent": "percent", "colsed_date": "closed_date", "loss_reson": "loss_reason"},
+    "weekly_purchases": {"id": "contact_id"},
+    "opt_outs": {"id": "contact_id"},
+    "recent_activity": {"id": "contact_id"},
+    "consult_bookings": {"id": "contact_id"},
+    "sales": {"source": "sources"},
+    "call_log": {"legnth": "length"},
+    "members": {"sky": "member_id"},
+}
+
+
+def aliases_of(schema: StructType) -> dict[str, str]:
+    """The other names of a layout's columns."""
+    return next((ALIASES.get(name, {}) for name, value in LAYOUTS.items() if value is schema), {})

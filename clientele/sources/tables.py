@@ -7,6 +7,7 @@ written table also ends a long lineage in a way that survives the loss of execut
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from functools import lru_cache
 
@@ -42,10 +43,61 @@ def new_table_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_NEW, _OLD = ".new-", ".old-"
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and a function from texts to its paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Put back a table whose replacement stopped between taking the old one away and putting the
+    new one in; delete what other interrupted replacements left.  True where one was put back."""
+    files, make = _files(spark, path)
+    target = make(path)
+    if target.getParent() is None or not files.exists(target.getParent()):
+        return False
+    left = [s.getPath() for s in files.listStatus(target.getParent())]
+    old = sorted((x for x in left if x.getName().startswith(target.getName() + _OLD)), key=lambda x: x.getName())
+    back = bool(old) and not files.exists(target) and files.rename(old.pop(), target)
+    for x in [*old, *(x for x in left if x.getName().startswith(target.getName() + _NEW))]:
+        files.delete(x, True)
+    return back
+
+
 def save(df: DataFrame, path: str, append: bool = False) -> DataFrame:
-    """Write a table (replacing or adding to what is there) and return it as read back."""
-    df.write.mode("append" if append else "overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write a table (replacing or adding to what is there) and return it as read back.
+
+    A table that is replaced stays whole until the new one is: rows are written to a folder
+    beside it, then the folders are renamed, and the old one is deleted last.  So a table may be
+    replaced by rows read from itself, and a write that fails leaves it as it was.  If the driver
+    is lost between the renames, ``recover`` (called by the next save) puts the old one back.  One
+    job replaces a table at a time.
+    """
+    spark = df.sparkSession
+    files, make = _files(spark, path)
+    target = make(path)
+    if append or not (files.exists(target) or recover(spark, path)):
+        df.write.mode("append" if append else "overwrite").parquet(path)
+        return spark.read.parquet(path)
+    name = path.rstrip("/")
+    # Names sort by time, so that the youngest is put back.
+    mark = f"{time.time_ns():020d}-{uuid.uuid4().hex}"
+    fresh, old = make(name + _NEW + mark), make(name + _OLD + mark)
+    try:
+        df.write.parquet(fresh.toString())
+    except BaseException:
+        files.delete(fresh, True)
+        raise
+    if not files.rename(target, old):
+        raise OSError(f"could not take {path} away")
+    if not files.rename(fresh, target):
+        files.rename(old, target)
+        raise OSError(f"could not replace {path}")
+    files.delete(old, True)
+    return spark.read.parquet(path)
 
 
 def empty(spark: SparkSession, path: str) -> DataFrame:
@@ -56,8 +108,8 @@ def empty(spark: SparkSession, path: str) -> DataFrame:
 
 def drop(spark: SparkSession, path: str) -> bool:
     """Delete a table with its files; False when there was none."""
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    files, make = _files(spark, path)
+    return files.delete(make(path), True)
 
 
 def save_snapshot(df: DataFrame, path: str, week: str) -> None:

@@ -298,3 +298,37 @@ def test_joined_text_splits_long_keys(spark):
         assert [p for p, _ in pages] == list(range(10))
         assert ",".join(text for _, text in pages) == ",".join(sorted(texts))
     assert [(r.part, r["all"]) for r in out if r.k == 2] == [(0, "y,z")]
+
+
+def test_joined_text_of_very_many_equal_texts(spark):
+    """A run of equal texts is one row until its pages are written."""
+    from clientele.plans.quality import joined_text_per_key
+
+    df = spark.range(0, 100_000, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("t"))
+    other = spark.createDataFrame([(1, "a"), (1, "zz"), (2, "same")], "k int, t string")
+    out = joined_text_per_key(df.unionByName(other), "k", "t", "all", part_rows=999).collect()
+    pages = [r["all"] for r in sorted((r for r in out if r.k == 1), key=lambda r: r.part)]
+    assert ",".join(pages) == ",".join(["a", *["same"] * 100_000, "zz"])
+    assert {len(p.split(",")) for p in pages[:-1]} == {999} and len(pages) == 101
+    assert [r["all"] for r in out if r.k == 2] == ["same"]
+
+
+def test_sets_of_ids_add_up(spark):
+    from clientele.operators import bitmaps
+
+    r = random.Random(3)
+    data = [(w, r.choice("ab"), r.choice([None, r.randint(0, 70_000), r.randint(0, 50)])) for w in (1, 2, 3) for _ in range(400)]
+    df = spark.createDataFrame(data, "week int, class string, id long").repartition(5)
+    sets = bitmaps.id_sets(df, ["week", "class"], "id")
+    for keys in (["week", "class"], ["class"], ["week"]):
+        got = {tuple(x[k] for k in keys): (x.ids, x.n) for x in bitmaps.set_sizes(sets, keys, "ids", "n").collect()}
+        expected = {}
+        for w, c, i in data:
+            if i is not None:
+                expected.setdefault(tuple({"week": w, "class": c}[k] for k in keys), []).append(i)
+        assert got == {k: (len(set(v)), len(v)) for k, v in expected.items()}
+    # Two weeks united, stored and united with a third.
+    two = bitmaps.united(sets.filter("week < 3"), "class")
+    three = bitmaps.set_sizes(two.unionByName(bitmaps.united(sets.filter("week = 3"), "class")), "class", "ids")
+    assert {x["class"]: x.ids for x in three.collect()} == {c: len({i for _, k, i in data if k == c and i is not None}) for c in "ab"}
+    assert bitmaps.set_sizes(bitmaps.id_sets(df.limit(0), "week", "id"), "week", "ids").collect() == []

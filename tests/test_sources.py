@@ -86,3 +86,48 @@ def test_every_layout_has_unique_names():
     layouts = [s for s in layouts if hasattr(s, "fieldNames")]
     assert len(layouts) > 20
     assert all(len(set(s.fieldNames())) == len(s.fieldNames()) for s in layouts)
+
+
+def test_columns_are_found_by_header(spark, tmp_path):
+    write(tmp_path / "a.csv", "id,reason\n1,asked\n")
+    write(tmp_path / "b.csv", '\ufeffReason ,"Since, when",ID\nmoved,2015,2\n,2016,x\n')
+    write(tmp_path / "c.csv", "No,Reason,Reason\n3,r,s\n")
+    write(tmp_path / "d.csv", "")
+    export = exports.read_by_header(spark, str(tmp_path), schemas.NO_CALL, {"no": "id"})
+    good = {r.id: r.reason for r in exports.good_rows(export).collect()}
+    assert good == {1: "asked", 2: "moved", 3: "r"}
+    assert export.columns == ["id", "reason", exports.UNKNOWN, exports.BAD_ROW]
+    assert export.filter(F.col(exports.BAD_ROW).isNotNull()).count() == 1
+    report = {r.column: (r.rows_read, r.filled) for r in exports.header_report(export).collect()}
+    assert report == {"Since, when": (2, 2), "Reason": (1, 1)}
+
+
+def test_no_files_by_header(spark, tmp_path):
+    write(tmp_path / "empty.csv", "")
+    assert exports.read_by_header(spark, str(tmp_path), schemas.NO_CALL).collect() == []
+
+
+def test_a_failed_replacement_leaves_the_table(spark):
+    path = tables.new_table_path(spark, "kept")
+    tables.save(spark.range(10), path)
+    broken = spark.range(100, numPartitions=4).select(F.when(F.col("id") == 99, F.raise_error(F.lit("stop"))).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        tables.save(broken, path)
+    assert spark.read.parquet(path).count() == 10
+    # Replaced by rows read from itself; nothing else is left beside it.
+    assert tables.save(spark.read.parquet(path).filter("id < 3"), path).count() == 3
+    files, make = tables._files(spark, path)
+    left = [s.getPath().getName() for s in files.listStatus(make(path).getParent())]
+    assert [x for x in left if x.startswith(make(path).getName())] == [make(path).getName()]
+
+
+def test_an_interrupted_replacement_is_put_back(spark):
+    path = tables.new_table_path(spark, "lost")
+    tables.save(spark.range(10), path)
+    files, make = tables._files(spark, path)
+    # What a driver leaves that is lost between the two renames.
+    files.rename(make(path), make(f"{path}.old-1"))
+    spark.range(3).write.parquet(f"{path}.new-1")
+    assert tables.recover(spark, path) and spark.read.parquet(path).count() == 10
+    assert not tables.recover(spark, path)
+    assert not files.exists(make(f"{path}.new-1")) and not files.exists(make(f"{path}.old-1"))

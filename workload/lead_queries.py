@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from clientele.operators.hot import hot_keys, spread_join
 from clientele.plans import attribution, contacts, leads
+from clientele.sources import tables
 from workload.registry import (
     any_area,
     area_or_place,
@@ -229,6 +230,35 @@ def q_segment_counts(i):
     return leads.segment_counts(_responses(i))
 
 
+def _responder_sets(i):
+    """Written once, as a day's snapshot keeps them."""
+    path = tables.new_table_path(i.spark, "responder-sets")
+    return tables.save(leads.responder_sets(_responses(i)), path)
+
+
+@query(f"""
+SELECT actions, count(*) AS ct, count(DISTINCT contact_id) AS contacts FROM ({_RESPONSES}) AS r GROUP BY actions""")
+def q_segment_counts_sets(i):
+    return leads.segment_counts_of(_responder_sets(i))
+
+
+@query(f"""
+SELECT {week("sent")} AS week, segment, actions, count(DISTINCT contact_id) AS contacts
+FROM ({_RESPONSES}) AS r GROUP BY 1, 2, 3""")
+def q_responders_by_week_sets(i):
+    from clientele.plans.calendar import label_weeks
+
+    return leads.responders_of(label_weeks(_responder_sets(i), "sent", "week"), "week")
+
+
+@query(f"""
+SELECT CAST(date_trunc('month', sent) AS DATE) AS month, segment, actions, count(DISTINCT contact_id) AS contacts
+FROM ({_RESPONSES}) AS r GROUP BY 1, 2, 3""")
+def q_responders_by_month(i):
+    months = _responder_sets(i).withColumn("month", F.trunc("sent", "month"))
+    return leads.responders_of(months, "month")
+
+
 @query(f"""
 SELECT {week("sent")} AS week, segment, actions, count(DISTINCT contact_id) AS contacts
 FROM ({_RESPONSES}) AS r GROUP BY 1, 2, 3""")

@@ -93,6 +93,78 @@ def q_export_consults(i):
     return read.groupBy("contact_id", "provider", "date").agg(F.count("*").alias("n"))
 
 
+def _layout_cells(layout):
+    """SQL for a made-up value of every column of a layout, in the part Spark and DuckDB share.
+
+    Customers with odd keys come in the export's other version, which lacks the last column.
+    """
+    cells = {}
+    for k, f in enumerate(layout):
+        kind = f.dataType.simpleString()
+        if kind in ("bigint", "int"):
+            cell = f"CAST(c_custkey % 1000 + {k} AS {kind})"
+        elif kind == "date":
+            cell = f"(DATE '2020-01-01' + CAST(c_custkey % 300 + {k} AS INT))"
+        else:
+            cell = f"(CASE WHEN c_custkey % {k + 2} = 0 THEN NULL ELSE 't{k}, \"' || CAST(c_custkey AS STRING) END)"
+        if k == len(layout) - 1:
+            cell = f"(CASE WHEN c_custkey % 2 = 0 THEN {cell} END)"
+        cells[f.name] = (kind, cell)
+    return cells
+
+
+def _of_kind(cells, kinds):
+    return [c for kind, c in cells.values() if kind in kinds]
+
+
+def _layout_sql(name):
+    cells = _layout_cells(schemas.LAYOUTS[name])
+    total = lambda parts, empty: " + ".join(f"coalesce({x}, 0)" for x in parts) or empty
+    numbers = total(_of_kind(cells, ("bigint", "int")), "0")
+    letters = total([f"length({c})" for c in _of_kind(cells, ("string",))], "0")
+    days = total([f"date_diff('day', DATE '2020-01-01', {c})" for c in _of_kind(cells, ("date",))], "0")
+    return f"""
+SELECT '{name}' AS layout, count(*) AS rows_read, CAST(0 AS BIGINT) AS bad_rows, count(*) FILTER (c_custkey % 2 = 1) AS unknown_cells,
+  CAST(sum({numbers}) AS BIGINT) AS numbers, CAST(sum({letters}) AS BIGINT) AS letters, CAST(sum({days}) AS BIGINT) AS days
+FROM {{customer}}"""
+
+
+@query(" UNION ALL ".join(_layout_sql(name) for name in sorted(schemas.LAYOUTS)))
+def q_export_layouts(i):
+    """Every layout read back by header from two versions of its export.
+
+    The other version has its columns in reverse order under other names, lacks the last one and
+    has one that no layout knows.
+    """
+    parts = []
+    for name, layout in sorted(schemas.LAYOUTS.items()):
+        path = tables.new_table_path(i.spark, f"export-{name}")
+        cells = _layout_cells(layout)
+        other = {new: old for old, new in schemas.aliases_of(layout).items() if old not in cells}
+        titles = {c: other.get(c, c).replace("_", " ").title() for c in cells}
+        first = i.customer.filter("c_custkey % 2 = 0").selectExpr(*(f"{cell} AS {c}" for c, (_, cell) in cells.items()))
+        reverse = [f"{cell} AS `{titles[c]}`" for c, (_, cell) in reversed(list(cells.items())[:-1])]
+        second = i.customer.filter("c_custkey % 2 = 1").selectExpr("c_mktsegment AS `Hobby`", *reverse)
+        for version in (first, second):
+            exports.write_export(version, path, mode="append")
+        read = exports.read_by_header(i.spark, path, layout, schemas.aliases_of(layout))
+        good = F.col(exports.BAD_ROW).isNull()
+        of = lambda kinds, cells=cells: [F.col(c) for c, (kind, _) in cells.items() if kind in kinds]
+        total = lambda columns: sum((F.coalesce(c, F.lit(0)) for c in columns), F.lit(0)).cast("long")
+        parts.append(
+            read.agg(
+                F.lit(name).alias("layout"),
+                F.count_if(good).alias("rows_read"),
+                F.count_if(~good).alias("bad_rows"),
+                F.sum(F.size(F.map_filter(exports.UNKNOWN, lambda _, v: v.isNotNull()))).cast("long").alias("unknown_cells"),
+                F.sum(total(of(("bigint", "int")))).alias("numbers"),
+                F.sum(total([F.length(c) for c in of(("string",))])).alias("letters"),
+                F.sum(total([F.datediff(c, F.lit("2020-01-01").cast("date")) for c in of(("date",))])).alias("days"),
+            )
+        )
+    return union_all(*parts)
+
+
 @query("""
 SELECT count(*) AS rows_read, count(*) FILTER (o_custkey % 7 = 0) AS bad_rows,
   min(o_custkey) FILTER (o_custkey % 7 <> 0) AS low_key, max(o_custkey) FILTER (o_custkey % 7 <> 0) AS high_key
@@ -126,23 +198,45 @@ def q_replace(i):
 
 
 @query("""
-SELECT count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_left, TRUE AS dropped FROM {orders}""")
+SELECT o_orderkey AS order_id, o_totalprice + 1 AS total FROM {orders} WHERE o_totalprice >= 100000""")
+def q_replace_itself(i):
+    """A table replaced by rows that are read from it while it is replaced."""
+    path = tables.new_table_path(i.spark, "orders-rewritten")
+    orders = i.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
+    kept = tables.save(orders, path).filter("total >= 100000")
+    return tables.save(kept.withColumn("total", F.col("total") + 1), path)
+
+
+@query("""
+SELECT o_orderstatus, count(*) AS rows_before, CAST(0 AS BIGINT) AS rows_left, min(o_orderkey) AS low_key,
+  max(o_orderkey) AS high_key FROM {orders} GROUP BY o_orderstatus""")
 def q_empty(i):
+    """What a table held before it was emptied, and what it holds after, counted from its files."""
     path = tables.new_table_path(i.spark, "orders-emptied")
-    orders = i.orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("total"))
-    before = tables.save(orders, path).agg(F.count("*").alias("rows_before"))
-    rows_before = before.first()["rows_before"]
-    rows_left = tables.empty(i.spark, path).count()
-    dropped = tables.drop(i.spark, path)
-    figures = (F.lit(rows_before).alias("rows_before"), F.lit(rows_left).cast("long").alias("rows_left"))
-    return i.orders.limit(1).select(*figures, F.lit(dropped).alias("dropped"))
+    counted = lambda df: df.groupBy("o_orderstatus").agg(
+        F.count("*").alias("n"), F.min("o_orderkey").alias("low_key"), F.max("o_orderkey").alias("high_key")
+    )
+    before = tables.save(counted(tables.save(i.orders.select("o_orderkey", "o_orderstatus"), path)), f"{path}-before")
+    after = tables.save(counted(tables.empty(i.spark, path)), f"{path}-after")
+    if not tables.drop(i.spark, path):
+        raise OSError(f"{path} was not there")
+    both = union_all(
+        before.withColumns({"rows_before": F.col("n"), "rows_left": F.lit(0)}),
+        after.withColumns({"rows_before": F.lit(0), "rows_left": F.col("n")}),
+    )
+    return both.groupBy("o_orderstatus").agg(
+        F.sum("rows_before").alias("rows_before"), F.sum("rows_left").alias("rows_left"),
+        F.min("low_key").alias("low_key"), F.max("high_key").alias("high_key"),
+    )
 
 
 @query("""
-SELECT column_name AS name FROM (DESCRIBE SELECT * FROM {orders})""")
+SELECT column_name AS name, non_null AS filled FROM (
+  UNPIVOT (SELECT COUNT(COLUMNS(*)) FROM {orders}) ON COLUMNS(*) INTO NAME column_name VALUE non_null)""")
 def q_show_schema(i):
-    names = F.array(*(F.lit(c) for c in i.orders.columns))
-    return i.orders.limit(1).select(F.explode(names).alias("name"))
+    """The columns of a table with how many rows fill each."""
+    filled = i.orders.agg(*(F.count(c).alias(c) for c in i.orders.columns))
+    return filled.unpivot([], i.orders.columns, "name", "filled")
 
 
 @query("""
