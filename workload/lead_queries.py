@@ -457,6 +457,14 @@ def q_route_leads(i):
     return routed.select(*leads.ROUTE_COLUMNS, "route")
 
 
+@query(f"""
+SELECT contact_id, name, '{BASE}' || CAST(contact_id AS VARCHAR) AS link, phone, country, what_done, time_zone, cc,
+  opty_owner, opty_link, stage
+FROM ({_CALLABLE}) AS c WHERE seg_country = 'International' AND coalesce(stage, 'Won') IN ('Won', 'Lost')""")
+def q_manual_list(i):
+    return leads.route_list(leads.route_leads(_callable(i), BASE), "manual")
+
+
 @query(f"""
 SELECT c.contact_id, z.city AS time_city, z.time_zone FROM (
   SELECT contact_id, {any_area("phone")} AS city FROM {{contacts}} WHERE NOT {blank("phone")}) AS c

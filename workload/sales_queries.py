@@ -301,6 +301,13 @@ def q_dial_rounds(i):
     return calls.dial_rounds_wide(i.dial_results, DIAL_SCHEDULE)
 
 
+@query("""
+SELECT id, caller, result, CAST(round AS BIGINT) AS round FROM {dial_results} WHERE round IS NOT NULL""")
+def q_rounds_long(i):
+    of_round = {n: i.dial_results.filter(F.col("round") == n).select("id", "caller", "result") for n in range(1, 6)}
+    return calls.rounds_long(of_round)
+
+
 @query(f"""
 SELECT caller, count(DISTINCT id) AS total_request, count(*) FILTER (is_full) AS full_address,
   count(*) FILTER (NOT is_full AND touched > 0) AS partly_address, count(*) FILTER (touched = 0) AS non_address

@@ -165,6 +165,17 @@ def q_export_layouts(i):
     return union_all(*parts)
 
 
+@query("""
+SELECT o_orderstatus AS stage, count(*) AS n FROM {orders} GROUP BY o_orderstatus""")
+def q_publish(i):
+    """A report written under display names, and read again by its header."""
+    path = tables.new_table_path(i.spark, "published")
+    report = i.orders.groupBy(F.col("o_orderstatus").alias("stage")).agg(F.count("*").alias("n"))
+    tables.publish(report, path, {"stage": "Stage (as of today)", "n": "# of orders"})
+    shown = {"stage_as_of_today": "stage", "of_orders": "n"}
+    return exports.good_rows(exports.read_by_header(i.spark, path, schemas.layout("stage", "n:long"), shown))
+
+
 @query("""
 SELECT count(*) AS rows_read, count(*) FILTER (o_custkey % 7 = 0) AS bad_rows,
   min(o_custkey) FILTER (o_custkey % 7 <> 0) AS low_key, max(o_custkey) FILTER (o_custkey % 7 <> 0) AS high_key
