@@ -1,8 +1,8 @@
 """Token ids of whole texts from a tokenizer file, as one binary value per text.
 
 Byte-level files are encoded by tiktoken (see ``tiktoken_of``).  For a tokenizer of words a text is
-cut at ASCII white space where no token can reach across, and the tokenizers library encodes
-each different chunk once while a Python worker remembers it.  Texts where such a cut could
+cut where no token can reach across, at ASCII white space and between ASCII letters and marks, and
+the tokenizers library encodes each different chunk once while a Python worker remembers it.  Texts where such a cut could
 change the result (other white space, special tokens) are encoded whole.
 """
 
@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clientele.llm.words import LOWER, NON_SPACE, text_buffer
+from clientele.llm.words import LOWER, NON_SPACE, byte_table, text_buffer
 
 # Chunks in a worker's memory when it becomes the old one: some 50 MB each.
 REMEMBERED = 400_000
@@ -101,6 +101,8 @@ class _Whole:
         return [encode(t).astype(dtype).tobytes() if t else b"" for t in texts.to_pylist()]
 
 
+_LETTERS = byte_table(bytes(range(0x61, 0x7B)))
+_MARKS = byte_table(bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b != 0x27))
 _NOTHING = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
 
@@ -164,8 +166,13 @@ class _Words:
         inside = NON_SPACE[data]
         at_start = np.zeros(len(data) + 1, bool)
         at_start[ends[:-1]] = True
-        begin = np.flatnonzero(inside & ~(np.concatenate([[False], inside[:-1]]) & ~at_start[:-1]))
-        end = np.flatnonzero(inside & ~(np.concatenate([inside[1:], [False]]) & ~at_start[1:])) + 1
+        letter, mark = _LETTERS[data], _MARKS[data]
+        # Between an ASCII letter and a mark a piece always ends, so that words are the same with
+        # and without marks at their sides.  (Apostrophes may belong to a word.)
+        parted = np.concatenate([[False], (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])])
+        starts = np.append(inside & (~np.concatenate([[False], inside[:-1]]) | parted | at_start[:-1]), True)
+        begin = np.flatnonzero(starts[:-1])
+        end = np.flatnonzero(inside & (starts[1:] | np.concatenate([~inside[1:], [True]]))) + 1
         offsets = np.concatenate([[0], np.cumsum(end - begin)]).astype(np.int64)
         chunks = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[inside]))]

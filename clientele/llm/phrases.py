@@ -47,7 +47,8 @@ LONGEST = 5
 BITS_EACH, LEAST_BITS, MOST_BITS = 32, 1 << 20, 1 << 28
 GROUP_ROWS = 4  # shards in a row group of their table
 HASH_BITS = 44
-PARTS = 16  # ranges of hash values for each shuffle partition
+PARTS = 16  # most ranges of hash values for each shuffle partition
+RANGE_WORDS = 1 << 20
 HELD = 1 << 21  # hash values a task holds before it sends or adds them up
 _BREAKS = byte_table(b".,;:!?\x0a\x0b\x0c\x0d")
 _BLANKS = byte_table(b" \t")
@@ -391,16 +392,18 @@ def unpacked(blob) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(gaps, dtype=np.uint64), counts.astype(np.int64)
 
 
-def counted_hashes(shards: DataFrame, known: dict[int, Filter], lengths: range, least: int) -> DataFrame:
+def counted_hashes(
+    shards: DataFrame, known: dict[int, Filter], lengths: range, least: int, words: int
+) -> DataFrame:
     """Hash values of phrases of some lengths that occur ``least`` times or more, kept as rows
     (length, hash).  Phrases with one hash value count together, so no frequent one is missing.
 
-    A task adds up its shards' counts and sends them in blocks of a narrow range of values; with
-    PARTS ranges for each shuffle partition a range takes a small part of what a partition may.
+    A task adds up its shards' counts and sends them in blocks of a range of values.  A range has
+    about RANGE_WORDS of the corpus's ``words``; there are up to PARTS for each shuffle partition.
     """
     spark = shards.sparkSession
     n = partitions(spark)
-    part_bits = (n * PARTS - 1).bit_length()
+    part_bits = (min(n * PARTS, -(-words // RANGE_WORDS)) - 1).bit_length() if words else 0
     shift = _U(HASH_BITS - part_bits)
     sent = spark.sparkContext.broadcast(known)
 
@@ -490,8 +493,9 @@ def collocations(
     known = {1: make_filter(words)}
     made = [shards, words]
     # Pairs first; longer phrases are few enough then to be counted together.
+    total = shards.agg(F.sum(F.aggregate("lang_words", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     for lengths in (range(2, 3), range(3, LONGEST + 1)):
-        hashes = counted_hashes(shards, known, lengths, least)
+        hashes = counted_hashes(shards, known, lengths, least, total)
         made.append(hashes)
         known |= {k: make_filter(hashes.filter(F.col("length") == k)) for k in lengths}
         release(docs.sparkSession)

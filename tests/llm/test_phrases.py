@@ -56,16 +56,16 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("words", [1 << 18, 64, 1])
-def test_collocations(spark, rows, words):
+@pytest.mark.parametrize(("words", "least", "best"), [(1 << 18, 5, 2000), (64, 12, 7)])
+def test_collocations(spark, rows, monkeypatch, words, least, best):
     from pyspark.sql import functions as F
 
     docs = spark.createDataFrame(rows, "lang string, text string").withColumns(
         {c: F.lit(1) for c in ("words", "phrase", "n", "a", "hash", "rank", "score")}
     )
-    for least, best in ((5, 2000), (12, 7)):
-        got = phrases.collocations(docs.repartition(3), least=least, best=best, shard_words=words)
-        assert sorted(map(tuple, got.collect())) == brute(rows, least, best)
+    monkeypatch.setattr(phrases, "RANGE_WORDS", words)
+    got = phrases.collocations(docs.repartition(3), least=least, best=best, shard_words=words)
+    assert sorted(map(tuple, got.collect())) == brute(rows, least, best)
 
 
 def test_collocations_of_small_table(spark, small):
