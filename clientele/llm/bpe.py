@@ -30,8 +30,10 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from clientele.llm.encode import _PLAIN, _WHOLE, CHUNKS, PIECES, REMEMBERED, byte_characters
+from clientele.llm.encode import _PLAIN, _WHOLE, CHUNKS, PIECES, byte_characters
 
+# Chunks remembered by a worker; the memory is emptied when it is full.
+REMEMBERED = 600_000
 PAIRS_REMEMBERED = 2_000_000
 # The splitting rule of byte-level vocabularies, for texts beyond Latin-1.
 _SPLIT = (
