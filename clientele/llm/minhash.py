@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.common import keep, small_batches
+from clientele.llm.filters import may_be_in
 from clientele.llm.graph import components
 from clientele.llm.words import NON_SPACE, mix, shingle_hashes, words_of
 
@@ -269,12 +270,17 @@ def candidates(classes: DataFrame) -> DataFrame:
             )
         )
     )
-    # Regions with more than CROWDED classes at each depth, among those crowded one step above.
     rows = classes.select("set_key", "sketch", trees)
     above = classes.select(trees).drop("order")
+    # A class that is alone in its sparsest region has no candidate there, at no depth; it is
+    # known by the regions' numbers before sketches are shuffled.
+    sizes = above.groupBy(f"d{SHALLOW}").agg(F.count("*").alias(f"n{SHALLOW}"))
+    shared = keep(sizes.filter(F.col(f"n{SHALLOW}") > 1), "shared")
+    rows = may_be_in(rows, F.col(f"d{SHALLOW}"), shared, F.col(f"d{SHALLOW}"))
+    # Regions with more than CROWDED classes at each depth, among those crowded one step above.
     for d in depths:
-        many = above.groupBy(f"d{d}").agg(F.count("*").alias(f"n{d}")).filter(F.col(f"n{d}") > CROWDED)
-        many = keep(many, "crowded")
+        sizes = shared if d == SHALLOW else above.groupBy(f"d{d}").agg(F.count("*").alias(f"n{d}"))
+        many = keep(sizes.filter(F.col(f"n{d}") > CROWDED), "crowded")
         above = above.join(many, f"d{d}", "left_semi")
         rows = rows.join(many, f"d{d}", "left")
     region = F.col(f"d{DEPTH}")
@@ -356,6 +362,9 @@ def near_duplicates(
         F.xxhash64(text).alias("text_hash"),
         F.col(text).alias("text"),
     )
+    # Most texts are in no family; they are dropped before texts are shuffled.
+    of_row = F.xxhash64("at", "text_hash")
+    texts = may_be_in(texts, of_row, known, of_row)
     # A class's row may be there several times; one of them is enough, and equal ones do no harm.
     found = texts.join(known, ["at", "text_hash"])
     dealt = _pairs_of_blocks(found, ["set_key"], "_blocks").select("family", "pair", "set_key", "text")
