@@ -2,7 +2,8 @@
 
 The keys of the table are bits of a bitmap, of which every task gets a copy; its size follows the
 number of keys up to MOST_BITS (32 MB).  Rows of the table's keys are all kept, and of the others
-one in BITS_EACH at most, so an exact join or grouping has to follow.  A table of too many keys for
+about one in BITS_EACH (more once the bitmap has its greatest size, two in five at most), so an
+exact join or grouping has to follow.  A table of too many keys for
 the greatest bitmap makes no filter: all rows go on, and what follows drops the same ones.
 """
 
