@@ -59,6 +59,12 @@ def reach_of(length: int) -> int:
     return max(1, length - 4 * window_of(length) - GRAM + 4)
 
 
+def block_of(length: int) -> int:
+    """Strings whose common part is looked for before they are: few enough that it is nearly as
+    long as they are."""
+    return max(1, min(16, length // 8))
+
+
 # ---- cuts and phrases -----------------------------------------------------------------
 
 
@@ -525,7 +531,8 @@ def shared_prefixes(suffixes: DataFrame, ranks: DataFrame, made: list[DataFrame]
 
 def _open_places(shared: DataFrame, sizes: DataFrame, length: int) -> DataFrame:
     """For every shared place the starts it stands for, ``low`` to ``high``, and whether any of
-    their strings is not yet covered by certain repeats (``open``)."""
+    their strings is not yet covered by certain repeats (``open``); ``near`` and ``wide`` are
+    then how many bytes before the place the last and the first such string start."""
     window = window_of(length)
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -535,6 +542,7 @@ def _open_places(shared: DataFrame, sizes: DataFrame, length: int) -> DataFrame:
             low = np.where(before < 0, 0, np.maximum(0, before - window + 2))
             high = np.minimum(start - window + 1, n - length)
             open_ = np.zeros(len(frame), bool)
+            first, last = start.copy(), start.copy()
             for a, b in zip(at[:-1], at[1:], strict=True):
                 edge = np.zeros(n[a] + 1, np.int64)
                 np.add.at(edge, start[a:b], far[a:b] > 0)
@@ -545,10 +553,28 @@ def _open_places(shared: DataFrame, sizes: DataFrame, length: int) -> DataFrame:
                 right = high[a:b] >= low[a:b]
                 lo, hi = np.where(right, low[a:b], 0), np.where(right, high[a:b] + 1, 0)
                 open_[a:b] = some[hi] > some[lo]
-            yield frame[["key", "short"]].assign(start=start, far=far, low=low, high=high, open=open_)
+                first[a:b] = np.searchsorted(some, some[lo], "right") - 1
+                last[a:b] = np.searchsorted(some, some[hi], "left") - 1
+            yield frame[["key", "short"]].assign(
+                start=start, far=far, low=low, high=high, open=open_, near=start - last, wide=start - first
+            )
 
     rows = shared.join(sizes, "key").repartition("key").sortWithinPartitions("key", "start")
-    return rows.mapInPandas(places, "key long, short long, start long, far long, low long, high long, open boolean")
+    return rows.mapInPandas(
+        places,
+        "key long, short long, start long, far long, low long, high long, open boolean, near long, wide long",
+    )
+
+
+def _starts(asks, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """All starts asked for, and for each where the part common to its block of strings starts.
+
+    Strings are in blocks by how far before their place they start; equal strings start equally
+    far, so that they are in equal blocks.
+    """
+    starts = np.concatenate([np.arange(a["low"], a["high"] + 1) for a in asks])
+    place = np.repeat([a["start"] for a in asks], [a["high"] - a["low"] + 1 for a in asks])
+    return starts, place - (place - starts) // block * block
 
 
 def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: str = "text"):
@@ -578,12 +604,24 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     places = keep(_open_places(shared, sizes.select("key", "n_bytes"), length), "places")
     forget(made)
     release(docs.sparkSession)
-    # A start that is open must be compared with all that share its prefix, certain or not.
-    asked = places.join(places.filter("open").select("short").distinct(), "short", "left_semi").filter("high >= low")
-    wanted = asked.select("key", F.struct("low", "high").alias("ask"), F.lit(None).cast("struct<f:bigint,t:bigint>").alias("sure"))
+    # A start that is open must be compared with all that share its prefix, certain or not.  Equal
+    # strings start equally far before their places: no others than the open distances are asked.
+    distances = places.filter("open").groupBy("short").agg(F.min("near").alias("_near"), F.max("wide").alias("_wide"))
+    asked = (
+        places.select("key", "short", "start", "low", "high")
+        .join(distances, "short")
+        .select(
+            "key",
+            "start",
+            F.greatest("low", F.col("start") - F.col("_wide")).alias("low"),
+            F.least("high", F.col("start") - F.col("_near")).alias("high"),
+        )
+        .filter("high >= low")
+    )
+    wanted = asked.select("key", F.struct("start", "low", "high").alias("ask"), F.lit(None).cast("struct<f:bigint,t:bigint>").alias("sure"))
     certain = places.filter("far > 0").select(
         "key",
-        F.lit(None).cast("struct<low:bigint,high:bigint>").alias("ask"),
+        F.lit(None).cast("struct<start:bigint,low:bigint,high:bigint>").alias("ask"),
         F.struct(F.col("start").alias("f"), (F.col("start") + F.col("far")).alias("t")).alias("sure"),
     )
     # Lists of one text's places: no longer than the text.
@@ -592,18 +630,30 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     )
     copied = sizes.filter((F.col("copies") > 1) & (F.col("n_bytes") >= length)).select("key")
     texts = keep(keyed.select("key", "text").join(per_key, "key").dropDuplicates(["key"]), "texts")
+    block = block_of(length)
 
-    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def hashed(key: int, body: str, starts: np.ndarray, size: int) -> pd.DataFrame:
+        running = running_hash(np.frombuffer(body.encode(), np.uint8))
+        h = span_hash(running, starts, starts + size).astype(np.int64)
+        return pd.DataFrame({"hash": h, "key": key, "start": starts.astype(np.int32)})
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, body, asks in zip(batch["key"], batch["text"], batch["asks"], strict=True):
-                if not len(asks):
-                    continue
-                running = running_hash(np.frombuffer(body.encode(), np.uint8))
-                wanted_at = np.unique(np.concatenate([np.arange(a["low"], a["high"] + 1) for a in asks]))
-                h = span_hash(running, wanted_at, wanted_at + length).astype(np.int64)
-                yield pd.DataFrame({"hash": h, "key": key, "start": wanted_at.astype(np.int32)})
+                if len(asks):
+                    yield hashed(key, body, np.unique(_starts(asks, block)[1]), length - block + 1)
 
-    hits = repeated(texts.select("key", "text", "asks").mapInPandas(strings, "hash long, key long, start int"))
+    def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for key, body, asks, common in zip(batch["key"], batch["text"], batch["asks"], batch["common"], strict=True):
+                starts, parts = _starts(asks, block)
+                yield hashed(key, body, np.unique(starts[np.isin(parts, common)]), length)
+
+    # What a block of strings has in common must be repeated if one of them is.
+    asking = texts.filter(F.size("asks") > 0).select("key", "text", "asks")
+    common = repeated(asking.mapInPandas(blocks, "hash long, key long, start int"))
+    going = asking.join(common.groupBy("key").agg(F.collect_list("start").alias("common")), "key")
+    hits = repeated(going.select("key", "text", "asks", "common").mapInPandas(strings, "hash long, key long, start int"))
     found = hits.groupBy("key").agg(F.collect_list("start").alias("starts"))
 
     def merged(sures: pd.Series, starts: pd.Series) -> pd.Series:
