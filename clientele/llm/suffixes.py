@@ -16,8 +16,9 @@ input may be far larger than any machine.
 4. *Adjacent prefixes.* Equal prefixes stand side by side in the array.  A place whose phrases
    equal a neighbour's over ``length`` bytes is certain to be repeated.  What is left are the
    ends of passages, which need not lie on cuts: their strings of ``length`` bytes are hashed
-   place by place, where the array has a neighbour with a common prefix of the least size a
-   repeated string must show, and compared.
+   and compared, where the array has a neighbour with a common prefix of the least size a
+   repeated string must show.  Blocks of strings are judged together by what they have in
+   common and what they make up, so that few are hashed place by place.
 
 Equal texts are one class; all of a text of ``length`` bytes that has a copy is repeated.
 
@@ -60,9 +61,9 @@ def reach_of(length: int) -> int:
 
 
 def block_of(length: int) -> int:
-    """Strings whose common part is looked for before they are: few enough that it is nearly as
-    long as they are."""
-    return max(1, min(16, length // 8))
+    """Neighbouring strings that are judged together where they can be: few enough that what
+    they have in common, and what they make up together, are nearly as long as one."""
+    return max(2, min(16, length // 8))
 
 
 # ---- cuts and phrases -----------------------------------------------------------------
@@ -640,8 +641,13 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for key, body, asks in zip(batch["key"], batch["text"], batch["asks"], strict=True):
-                if len(asks):
-                    yield hashed(key, body, np.unique(_starts(asks, block)[1]), length - block + 1)
+                if not len(asks):
+                    continue
+                parts = np.unique(_starts(asks, block)[1])
+                yield hashed(key, body, parts, length - block + 1).assign(whole=False)
+                wholes = parts - block + 1
+                wholes = wholes[(wholes >= 0) & (parts + length <= len(body.encode()))]
+                yield hashed(key, body, wholes, length + block - 1).assign(whole=True)
 
     def strings(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -649,18 +655,34 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
                 starts, parts = _starts(asks, block)
                 yield hashed(key, body, np.unique(starts[np.isin(parts, common)]), length)
 
-    # What a block of strings has in common must be repeated if one of them is.
+    # What a block of strings has in common must be repeated if one of them is, and all are if what
+    # they make up together is.  Strings are compared one by one in blocks between the two and
+    # in all blocks that have as much in common with one of these.
     asking = texts.filter(F.size("asks") > 0).select("key", "text", "asks")
-    common = repeated(asking.mapInPandas(blocks, "hash long, key long, start int"))
-    going = asking.join(common.groupBy("key").agg(F.collect_list("start").alias("common")), "key")
+    judged = keep(repeated(asking.mapInPandas(blocks, "hash long, key long, start int, whole boolean")), "blocks")
+    common = judged.filter("NOT whole").select("hash", "key", "start")
+    whole_blocks = judged.filter("whole").select("key", (F.col("start") + block - 1).alias("start"))
+    between = common.join(whole_blocks, ["key", "start"], "left_anti").select("hash").distinct()
+    going = asking.join(
+        common.join(between, "hash", "left_semi").groupBy("key").agg(F.collect_list("start").alias("common")), "key"
+    )
     hits = repeated(going.select("key", "text", "asks", "common").mapInPandas(strings, "hash long, key long, start int"))
-    found = hits.groupBy("key").agg(F.collect_list("start").alias("starts"))
+    found = (
+        hits.select("key", "start", F.lit(False).alias("whole"))
+        .unionByName(judged.filter("whole").select("key", "start", "whole"))
+        .groupBy("key")
+        .agg(
+            F.collect_list(F.when(~F.col("whole"), F.col("start"))).alias("starts"),
+            F.collect_list(F.when(F.col("whole"), F.col("start"))).alias("wholes"),
+        )
+    )
 
-    def merged(sures: pd.Series, starts: pd.Series) -> pd.Series:
+    def merged(sures: pd.Series, starts: pd.Series, wholes: pd.Series) -> pd.Series:
         out = []
-        for sure, at in zip(sures, starts, strict=True):
+        for sure, *found in zip(sures, starts, wholes, strict=True):
             spans = [(s["f"], s["t"]) for s in sure] if sure is not None else []
-            spans += [(int(a), int(a) + length) for a in at] if at is not None else []
+            for at, size in zip(found, (length, length + block - 1), strict=True):
+                spans += [(int(a), int(a) + size) for a in at] if at is not None else []
             spans.sort()
             joined: list[list[int]] = []
             for a, b in spans:
@@ -675,7 +697,7 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
     partly = (
         texts.select("key", "sures")
         .join(found, "key", "left")
-        .select("key", merge("sures", "starts").alias("spans"))
+        .select("key", merge("sures", "starts", "wholes").alias("spans"))
         .filter(F.size("spans") > 0)
         .join(copied, "key", "left_anti")
     )
@@ -683,6 +705,7 @@ def find(docs: DataFrame, length: int = LENGTH, doc_id: str = "doc_id", text: st
         "key", F.array(F.struct(F.lit(0).cast("long").alias("f"), F.col("n_bytes").alias("t"))).alias("spans")
     )
     spans = keep(partly.unionByName(fully), "spans")
+    forget([judged])
     return rows, texts.select("key", "text"), spans
 
 
