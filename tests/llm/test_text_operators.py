@@ -154,3 +154,78 @@ def test_quality_on_edges(spark, edge, none):
     assert all(r.key == 1 for r in rows)
     assert quality.judge(none, labels, good).collect() == []
     assert {r.score for r in quality.judge(edge, labels.limit(0), good).collect()} == {0.5}
+
+
+def plain_estimate(x):
+    """Centre and covariance of the tighter rows, all rows of a group at hand."""
+    least = np.diag(np.square(rules.FLOORS))
+    spread = lambda rows, scale: scale * np.cov(rows.T, bias=True) + least
+    cells = np.sort(np.floor(x * 128), axis=0)
+    share = np.arange(1, len(x) + 1) / len(x)
+    at = lambda q: (cells[np.argmax(share >= q)] + 0.5) / 128
+    starts = [(x.mean(0), spread(x, 1.0)), (at(0.5), np.diag(((at(0.75) - at(0.25)) / 1.349) ** 2) + least)]
+    found = []
+    for mean, cov in starts:
+        for _ in range(rules.STEPS):
+            bins = np.floor(np.log2(np.maximum(plain_distance(x, mean, cov), 1e-6)) * rules.BINS_PER_OCTAVE)
+            nearer = np.array([(bins < b).sum() for b in bins])
+            near = x[nearer < rules.QUOTA * len(x)]
+            mean, cov = near.mean(0), spread(near, rules._consistency())
+        found.append((np.linalg.slogdet(cov)[1], mean, cov))
+    return min(found, key=lambda f: f[0])[1:]
+
+
+def plain_distance(x, mean, cov):
+    away = x - mean
+    return np.einsum("ij,ij->i", away @ np.linalg.inv(cov), away)
+
+
+def test_rules_judge_as_plain_estimates(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    x, fails = [], []
+    for d in docs:
+        n_words, chars, symbols, lines, repeats, failed = counts(d.text)
+        n = n_words + rules.SMOOTH
+        n_lines = sum(any(c not in " \t\n\x0b\x0c\r" for c in line) for line in (d.text or "").split("\n"))
+        x.append((np.log((chars + rules.SMOOTH * rules.WORD_LENGTH) / n), np.log1p(symbols / n), lines / max(n_lines, 1), repeats / n))
+        fails.append(failed)
+    x, fails = np.array(x), np.array(fails)
+    levels = [[(), (d.lang,), (d.lang, d.source)] for d in docs]
+    members = {}
+    for i in np.flatnonzero(~fails):
+        for level in levels[i]:
+            members.setdefault(level, []).append(i)
+    shapes = {k: plain_estimate(x[v]) for k, v in members.items() if len(v) >= rules.LEAST or not k}
+    found = {r.doc_id: r for r in queries.op7_rules(spark, small).collect()}
+    for i, d in enumerate(docs):
+        shape = next(shapes[k] for k in reversed(levels[i]) if k in shapes)
+        distance = plain_distance(x[i : i + 1], *shape)[0]
+        assert found[d.doc_id].distance == pytest.approx(distance, rel=1e-6, abs=1e-9)
+        assert found[d.doc_id].kept == (not fails[i] and distance <= rules.CUTOFF)
+
+
+def test_language_scores_as_plain_kernel(spark, small):
+    """Every score from sets of grams, one text and one landmark at a time."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    model = language.fit(docs, ~language.held_out(F.col("doc_id")))
+    found = language.identify(docs.select("doc_id", "text"), model).collect()
+
+    def grams(text):
+        b = text.lower().encode()
+        places = set()
+        for n in language.ORDERS:
+            for i in range(len(b) - n + 1):
+                code = int.from_bytes(bytes([n]) + b[i : i + n], "big") % 2**32
+                places.add(code * 0x9E3779B1 % 2**32 >> 17)
+        return places
+
+    marks = [set(np.flatnonzero(np.unpackbits(m))) for m in model.landmarks]
+    for r in found[::3]:
+        own = grams(r.text or "")
+        if not any(c.isalpha() for c in r.text or ""):
+            assert (r.lang_pred, r.score) == (language.UNKNOWN, 0.0)
+            continue
+        kernel = [len(own & m) / np.sqrt(len(own) * len(m)) for m in marks]
+        values = np.array(kernel) @ model.weights
+        assert r.score == pytest.approx(np.clip((1 + values.max()) / 2, 0, 1), abs=1e-3)
+        assert values[model.languages.index(r.lang_pred)] == pytest.approx(values.max(), abs=2e-3)
