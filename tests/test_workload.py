@@ -5,6 +5,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as app
 from workload.inputs import TABLES, Inputs
@@ -66,3 +67,21 @@ def test_plans_start_no_job(spark, name):
 
 def test_entry_has_rows(spark):
     assert app.entry(spark).count() > 0
+
+
+def test_exports_are_written_by_all_cores(spark, tmp_path, monkeypatch):
+    """A table of one file and one row group is one task, unless it is dealt again."""
+    from clientele.sources import exports, schemas
+
+    monkeypatch.setattr(schemas, "LAYOUTS", {"members": schemas.MEMBERS})
+    customers = spark.range(40_000).selectExpr("id AS c_custkey", "'BUILDING' AS c_mktsegment")
+    customers.coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    written = []
+    write = exports.write_export
+    monkeypatch.setattr(exports, "write_export", lambda df, *a, **k: (written.append(df), write(df, *a, **k)))
+    found = app.queries()["q_export_layouts"](spark, str(tmp_path)).first()
+    assert (found.layout, found.rows_read, found.bad_rows) == ("members", 40_000, 0)
+    assert len(written) == 2
+    for df in written:
+        rows = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        assert len(rows) == 8 and max(rows) < 2 * min(rows)
