@@ -134,6 +134,15 @@ def test_no_repeat_is_lost_at_the_border_of_a_stretch(spark, monkeypatch, stretc
     assert sorted(map(tuple, found), key=str) == repeats(docs, 60)
 
 
+def test_prefixes_of_the_reach_need_one_level(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "BASE", 0)
+    monkeypatch.setattr(suffixes, "MOST_LEVELS", 0)
+    passage = prose(3, 60)
+    docs = [(k, prose(500 + k, 4) + passage[k : k + 150 + k] + prose(900 + k, 5)) for k in range(20)]
+    found = suffixes.digests(spark.createDataFrame(docs, "doc_id long, text string"), 60).collect()
+    assert sorted(map(tuple, found), key=str) == repeats(docs, 60)
+
+
 @pytest.mark.parametrize("base", [0, suffixes.BASE])
 def test_suffix_ranks_are_lexicographic(spark, monkeypatch, base):
     monkeypatch.setattr(suffixes, "BASE", base)
