@@ -8,6 +8,7 @@ import pytest
 from brute import components as plain_components
 from brute import near, repeats, roots
 from conftest import prose
+from pyspark.sql import functions as F
 
 from clientele.llm import embeddings, minhash, queries, suffixes
 from clientele.llm.graph import components
@@ -143,6 +144,45 @@ def test_prefixes_of_the_reach_need_one_level(spark, monkeypatch):
     assert sorted(map(tuple, found), key=str) == repeats(docs, 60)
 
 
+def lines_over_and_over(n):
+    """Texts of one line many times, some with words of their own between, some as copies."""
+    line, r = "the same line of words in all of them, number 1\n", random.Random(12)
+    docs = []
+    for k in range(n):
+        own = prose(1_300 + k, 20)
+        body = [line * r.randint(15, 60), own[:70], line * r.randint(0, 4), own[70:] * r.randint(1, 20)]
+        docs.append((k, own[: r.randint(0, 40)] + "".join(body[: r.randint(1, 4)])))
+    return [*docs, *((1_000 + k, t) for k, t in docs[::5]), (2_000, line + prose(13, 9)), (2_001, prose(14, 9) + line * 2)]
+
+
+def test_lines_over_and_over(spark):
+    docs = lines_over_and_over(40)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for length in (24, 60, 400):
+        assert sorted(map(tuple, suffixes.digests(df, length).collect()), key=str) == repeats(docs, length)
+
+
+def test_what_one_text_repeats_is_dealt_over_the_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        docs = spark.createDataFrame(lines_over_and_over(40), "key long, text string")
+        found = suffixes.repeated(suffixes.prefixes(docs, 400)).withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len({(r.key, r.start) for r in found}) == len(found) and min(r.start for r in found) >= 0
+    hashes, parts = (Counter(r[c] for r in found) for c in ("hash", "part"))
+    assert max(hashes.values()) > 0.6 * len(found)  # One string has most rows.
+    assert len(parts) > 1 and max(parts.values()) < 2 * len(found) / len(parts)
+
+
+def test_short_passages_over_and_over(spark):
+    texts = ["a b " * 40, "a b " * 40, prose(15, 30) + " c d" * 30, prose(16, 30) + " e f g"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    left = {r.doc_id: r.text for r in suffixes.remove(docs, 250, words=12).collect()}
+    # Blanks at the ends are no part of a passage.
+    assert left == {0: " ", 1: " ", 2: prose(15, 30) + " ", 3: texts[3]}
+
+
 @pytest.mark.parametrize("base", [0, suffixes.BASE])
 def test_suffix_ranks_are_lexicographic(spark, monkeypatch, base):
     monkeypatch.setattr(suffixes, "BASE", base)
